@@ -17,7 +17,7 @@ from attestry.functions.yamljson import yaml_to_json
 EXTENDED = "GetRepoDataExtendedInfo"
 LEGACY = "GetRepoDataArtifacts"
 
-RULE_COLUMNS = [part.split()[0] for part in schemas.RULE_FIELDS.split(",")]
+RULE_COLUMNS = [field.name for field in schemas.RULE_FIELDS]
 
 # Repository files asked for by path (path, type, response field).
 REPO_FILES = [

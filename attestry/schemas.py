@@ -6,142 +6,148 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+BOOL, INT, STAMP = T.BooleanType(), T.IntegerType(), T.TimestampType()
 
 
-RULE_FIELDS = (
-    "allowsDeletions boolean, allowsForcePushes boolean, dismissesStaleReviews boolean, "
-    "isAdminEnforced boolean, requiresStatusChecks boolean, requiresStrictStatusChecks boolean, "
-    "requiresCodeOwnerReviews boolean, requiredApprovingReviewCount int, pattern string"
-)
-_RULE = "struct<`__typename`:string," + ",".join(
-    part.strip().replace(" ", ":") for part in RULE_FIELDS.split(",")
-) + ">"
-_BLOB = "struct<`__typename`:string,id:string,text:string>"
-_ASSET = "struct<`__typename`:string,id:string,name:string,downloadUrl:string>"
-_RELEASE = (
-    "struct<`__typename`:string,id:string,name:string,tagName:string,url:string,createdAt:string,"
-    f"releaseAssets:struct<nodes:array<{_ASSET}>>>"
+def record(*parts: str | tuple[str, T.DataType]) -> T.StructType:
+    """A struct type. A plain text names string fields; a pair has its type."""
+    fields = []
+    for part in parts:
+        if isinstance(part, str):
+            fields += [T.StructField(name, T.StringType()) for name in part.split()]
+        else:
+            fields += [T.StructField(name, part[1]) for name in part[0].split()]
+    return T.StructType(fields)
+
+
+def listed(element: T.DataType) -> T.ArrayType:
+    return T.ArrayType(element)
+
+
+RULE_FIELDS = record(
+    (
+        "allowsDeletions allowsForcePushes dismissesStaleReviews isAdminEnforced "
+        "requiresStatusChecks requiresStrictStatusChecks requiresCodeOwnerReviews",
+        BOOL,
+    ),
+    ("requiredApprovingReviewCount", INT),
+    "pattern",
+).fields
+_RULE = T.StructType([T.StructField("__typename", T.StringType()), *RULE_FIELDS])
+_BLOB = record("__typename id text")
+_ASSET = record("__typename id name downloadUrl")
+_RELEASE = record(
+    "__typename id name tagName url createdAt",
+    ("releaseAssets", record(("nodes", listed(_ASSET)))),
 )
-_REPOSITORY = (
-    "struct<`__typename`:string,id:string,name:string,nameWithOwner:string,url:string,"
-    "description:string,hasVulnerabilityAlertsEnabled:boolean,"
-    "licenseInfo:struct<key:string,name:string,spdxId:string>,"
-    f"defaultBranchRef:struct<name:string,branchProtectionRule:{_RULE}>,"
-    f"branchProtectionRules:struct<nodes:array<{_RULE}>>,"
-    f"releases:struct<nodes:array<{_RELEASE}>>,"
-    "workflows:struct<`__typename`:string,entries:array<struct<name:string,"
-    f"object:{_BLOB}>>>,"
-    f"securityPolicy:{_BLOB},dependabot:{_BLOB},"
-    f"insightsFileRootUpper:{_BLOB},insightsFileRootLower:{_BLOB},"
-    f"insightsFileGithubUpper:{_BLOB},insightsFileGithubLower:{_BLOB}>"
+_ENTRY = record("name", ("object", _BLOB))
+_REPOSITORY = record(
+    "__typename id name nameWithOwner url description",
+    ("hasVulnerabilityAlertsEnabled", BOOL),
+    ("licenseInfo", record("key name spdxId")),
+    ("defaultBranchRef", record("name", ("branchProtectionRule", _RULE))),
+    ("branchProtectionRules", record(("nodes", listed(_RULE)))),
+    ("releases", record(("nodes", listed(_RELEASE)))),
+    ("workflows", record("__typename", ("entries", listed(_ENTRY)))),
+    (
+        "securityPolicy dependabot insightsFileRootUpper insightsFileRootLower "
+        "insightsFileGithubUpper insightsFileGithubLower",
+        _BLOB,
+    ),
 )
 
 #: One line of the raw response log.
-RESPONSE_LOG = _struct(
-    "metadata struct<queryType:string,timestamp:string,owner:string,repo:string,"
-    "inputs:struct<owner:string,name:string>>, "
-    f"response struct<repository:{_REPOSITORY}>"
+RESPONSE_LOG = record(
+    ("metadata", record("queryType timestamp owner repo", ("inputs", record("owner name")))),
+    ("response", record(("repository", _REPOSITORY))),
 )
 
-_PROJECT_FIELDS = (
-    "project_name string, display_name string, description string, maturity string, "
-    "category string, subcategory string, date_accepted string, date_incubating string, "
-    "date_graduated string, date_archived string, homepage_url string, repo_url string, "
-    "package_manager_url string, docker_url string, documentation_url string, blog_url string, "
-    "url_for_bestpractices string, clomonitor_name string, summary_business_use_case string, "
-    "summary_integrations string, summary_personas string, summary_tags string, "
-    "summary_use_case string, summary_release_rate string, dev_stats_url string, "
-    "has_security_audits boolean, security_audit_count int, latest_audit_date string, "
-    "latest_audit_vendor string, crunchbase string, twitter string, parent_project string, "
-    "tag_associations string, annual_review_date string, annual_review_url string, "
-    "license string, default_branch string"
-)
-_REPO_REF = "struct<owner:string,name:string,primary:boolean,branch:string>"
+_PROJECT_FIELDS = record(
+    "project_name display_name description maturity category subcategory date_accepted "
+    "date_incubating date_graduated date_archived homepage_url repo_url package_manager_url "
+    "docker_url documentation_url blog_url url_for_bestpractices clomonitor_name "
+    "summary_business_use_case summary_integrations summary_personas summary_tags "
+    "summary_use_case summary_release_rate dev_stats_url",
+    ("has_security_audits", BOOL),
+    ("security_audit_count", INT),
+    "latest_audit_date latest_audit_vendor crunchbase twitter parent_project tag_associations "
+    "annual_review_date annual_review_url license default_branch",
+).fields
+_REPO_REF = record("owner name", ("primary", BOOL), "branch")
 
 #: A project list: both the simple ``{owner,name}`` and the rich shape.
-PROJECT_LIST = _struct(
-    f"owner string, name string, {_PROJECT_FIELDS}, repos array<{_REPO_REF}>"
+PROJECT_LIST = T.StructType(
+    [*record("owner name").fields, *_PROJECT_FIELDS, *record(("repos", listed(_REPO_REF))).fields]
 )
 
-_AUDIT = "struct<date:string,vendor:string>"
-_EXTRA = (
-    "struct<accepted:string,incubating:string,graduated:string,archived:string,"
-    "package_manager_url:string,docker_url:string,documentation_url:string,blog_url:string,"
-    "clomonitor_name:string,summary_business_use_case:string,summary_integrations:string,"
-    "summary_integration:string,summary_personas:string,summary_tags:string,"
-    "summary_use_case:string,summary_release_rate:string,dev_stats_url:string,"
-    f"audits:array<{_AUDIT}>,parent_project:string,tag:array<string>,"
-    "annual_review_date:string,annual_review_url:string>"
+_EXTRA = record(
+    "accepted incubating graduated archived package_manager_url docker_url documentation_url "
+    "blog_url clomonitor_name summary_business_use_case summary_integrations summary_integration "
+    "summary_personas summary_tags summary_use_case summary_release_rate dev_stats_url",
+    ("audits", listed(record("date vendor"))),
+    "parent_project",
+    ("tag", listed(T.StringType())),
+    "annual_review_date annual_review_url",
 )
-_ITEM = (
-    "struct<name:string,description:string,project:string,repo_url:string,branch:string,"
-    "homepage_url:string,docker_url:string,url_for_bestpractices:string,crunchbase:string,"
-    "twitter:string,license:string,"
-    f"additional_repos:array<struct<repo_url:string,branch:string>>,extra:{_EXTRA}>"
+_ITEM = record(
+    "name description project repo_url branch homepage_url docker_url url_for_bestpractices "
+    "crunchbase twitter license",
+    ("additional_repos", listed(record("repo_url branch"))),
+    ("extra", _EXTRA),
 )
-_CATEGORY = (
-    f"struct<name:string,subcategories:array<struct<name:string,items:array<{_ITEM}>>>>"
+_CATEGORY = record(
+    "name", ("subcategories", listed(record("name", ("items", listed(_ITEM)))))
 )
 
 #: A landscape document, under either of its two root keys.
-LANDSCAPE = _struct(
-    f"landscape array<{_CATEGORY}>, categories array<{_CATEGORY}>"
-)
+LANDSCAPE = record(("landscape categories", listed(_CATEGORY)))
 
 #: An insight document. Lists stay arrays of raw JSON text so that one odd
 #: element does not void its neighbours; a value that is no list reads as NULL.
-_RESULTS = "struct<adhoc:string,ci:string,release:string>"
-INSIGHTS = _struct(
-    "header struct<`schema-version`:string,`last-updated`:string>, "
-    "project struct<name:string>, "
-    "repository struct<url:string,"
-    "release:struct<attestations:array<string>,dependencies:struct<sbom:array<string>>>,"
-    "security:struct<tools:array<string>>>, "
-    "attestations array<string>, "
-    "`security-artifacts` struct<attestations:array<string>>, "
-    "dependencies struct<sbom:array<string>>"
+_TEXTS = listed(T.StringType())
+INSIGHTS = record(
+    ("header", record("schema-version last-updated")),
+    ("project", record("name")),
+    (
+        "repository",
+        record(
+            "url",
+            ("release", record(("attestations", _TEXTS), ("dependencies", record(("sbom", _TEXTS))))),
+            ("security", record(("tools", _TEXTS))),
+        ),
+    ),
+    ("attestations", _TEXTS),
+    ("security-artifacts", record(("attestations", _TEXTS))),
+    ("dependencies", record(("sbom", _TEXTS))),
 )
-INSIGHT_TOOL = _struct(f"results {_RESULTS}")
-ATTESTATION = _struct("name string, location string, `predicate-uri` string, comment string")
-SBOM_ENTRY = _struct("`sbom-format` string, `sbom-url` string, `sbom-file` string, comment string")
+INSIGHT_TOOL = record(("results", record("adhoc ci release")))
+ATTESTATION = record("name location predicate-uri comment")
+SBOM_ENTRY = record("sbom-format sbom-url sbom-file comment")
 
-#: Base tables and the models' outputs that other models read.
+#: Base tables.
 TABLES: dict[str, T.StructType] = {
-    "base_repositories": _struct(
-        "id string, `__typename` string, name string, nameWithOwner string, url string, "
-        "description string, hasVulnerabilityAlertsEnabled boolean, license_key string, "
-        "license_name string, license_spdxId string, defaultBranch_name string"
-    ),
-    "base_branch_protection_rules": _struct(
-        f"id string, `__typename` string, repository_id string, {RULE_FIELDS}, "
-        "isDefaultBranch boolean"
-    ),
-    "base_releases": _struct(
-        "id string, `__typename` string, repository_id string, name string, tagName string, "
-        "url string, createdAt timestamp"
-    ),
-    "base_release_assets": _struct(
-        "id string, `__typename` string, release_id string, name string, downloadUrl string"
-    ),
-    "base_workflows": _struct(
-        "id string, `__typename` string, repository_id string, filename string, content string"
-    ),
-    "base_security_md": _struct(
-        "id string, `__typename` string, repository_id string, path string, content string"
-    ),
-    "base_repo_files": _struct(
-        "id string, repository_id string, path string, type string, content string"
+    "base_repositories": record(
+        "id __typename name nameWithOwner url description",
+        ("hasVulnerabilityAlertsEnabled", BOOL),
+        "license_key license_name license_spdxId defaultBranch_name",
     ),
-    "base_si_documents": _struct(
-        "repo_id string, source_url string, schema_version string, document string, "
-        "fetched_at timestamp"
+    "base_branch_protection_rules": T.StructType(
+        [
+            *record("id __typename repository_id").fields,
+            *RULE_FIELDS,
+            T.StructField("isDefaultBranch", BOOL),
+        ]
     ),
-    "base_cncf_projects": _struct(_PROJECT_FIELDS),
-    "base_cncf_project_repos": _struct(
-        "project_name string, owner string, name string, primary boolean, branch string"
+    "base_releases": record("id __typename repository_id name tagName url", ("createdAt", STAMP)),
+    "base_release_assets": record("id __typename release_id name downloadUrl"),
+    "base_workflows": record("id __typename repository_id filename content"),
+    "base_security_md": record("id __typename repository_id path content"),
+    "base_repo_files": record("id repository_id path type content"),
+    "base_si_documents": record(
+        "repo_id source_url schema_version document", ("fetched_at", STAMP)
     ),
+    "base_cncf_projects": T.StructType(_PROJECT_FIELDS),
+    "base_cncf_project_repos": record("project_name owner name", ("primary", BOOL), "branch"),
 }
 
 PROJECT_COLUMNS = TABLES["base_cncf_projects"].fieldNames()

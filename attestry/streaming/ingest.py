@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from attestry import schemas
 from attestry.operators.latest import newest_per_key
@@ -54,40 +55,42 @@ def run_to_table(
 
 
 class LatestSnapshot:
-    """The newest row per key, kept as a table that each micro-batch replaces.
+    """The newest row per key of a stream.
 
-    Versions alternate between folders named by batch number, so a batch that is
-    repeated after a failure reads the same earlier version and writes the same
-    result. ``order`` must make the newest row unique.
+    Each micro-batch is cut to its newest row per key and stored in a folder named
+    by its number, so its cost follows the batch, not the table, and a batch
+    repeated after a failure replaces its own folder. ``read`` picks the newest
+    row over all folders; ``compact`` stores that as the new base. ``order`` must
+    make the newest row unique.
     """
 
     def __init__(self, path: str, keys: list[str], order: list[Column]):
         self.path, self.keys, self.order = path.rstrip("/"), keys, order
 
-    def _version(self, batch: int) -> str:
-        return f"{self.path}/version={batch}"
-
-    def merge(self, arrived: DataFrame, batch: int) -> None:
-        # The batch limit runs before the union, so the merge shuffles at most
-        # one row per key and input partition.
+    def store(self, arrived: DataFrame, batch: int) -> None:
         rows = newest_per_key(arrived, self.keys, self.order)
-        if batch > 0:
-            stored = arrived.sparkSession.read.schema(arrived.schema).parquet(
-                self._version(batch - 1)
-            )
-            rows = newest_per_key(stored.unionByName(rows), self.keys, self.order)
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(self._version(batch))
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(
+            f"{self.path}/batch={batch}"
+        )
 
     def run(self, stream: DataFrame, checkpoint: str) -> DataFrame:
-        """Process all that has arrived and return the newest version."""
+        """Process all that has arrived and return the snapshot."""
         query = (
-            stream.writeStream.foreachBatch(self.merge)
+            stream.writeStream.foreachBatch(self.store)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
-        spark = stream.sparkSession
-        last = spark.read.option("basePath", self.path).parquet(self.path)
-        version = last.agg(F.max("version")).first()[0]
-        return spark.read.schema(stream.schema).parquet(self._version(version))
+        return self.read(stream.sparkSession, stream.schema)
+
+    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        stored = spark.read.schema(schema).parquet(f"{self.path}/batch=*")
+        return newest_per_key(stored, self.keys, self.order)
+
+    def compact(self, spark: SparkSession, schema: StructType, path: str) -> "LatestSnapshot":
+        """Store the snapshot as the first batch of a new folder."""
+        self.read(spark, schema).write.mode("overwrite").option("compression", "zstd").parquet(
+            f"{path.rstrip('/')}/batch=-1"
+        )
+        return LatestSnapshot(path, self.keys, self.order)
