@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestry.functions import rules as R
@@ -10,37 +10,30 @@ from attestry.functions import text as X
 from attestry.functions import values as V
 
 
-def artifact_flags(name: Column, word_name: Column) -> dict[str, Column]:
-    """All signal columns of an artifact name, in table order."""
-    out = {}
-    for flag in R.ARTIFACT_FLAGS:
-        if flag in R.ARTIFACT_KEYWORDS:
-            out[flag] = X.matches(word_name, R.ARTIFACT_KEYWORDS[flag])
-        else:
-            out[flag] = X.has_extension(name, R.ARTIFACT_EXTENSIONS[flag])
-    return out
+def _flag_sql(flag: str, name: str, words_column: str) -> str:
+    if flag in R.ARTIFACT_KEYWORDS:
+        return X.match_sql(words_column, R.ARTIFACT_KEYWORDS[flag])
+    ends = "|".join(R.ARTIFACT_EXTENSIONS[flag])
+    return f"`{name}` RLIKE '(?i)[.]({ends})$'"
 
 
-def sbom_format(word_name: Column) -> Column:
+def _format_sql(words_column: str) -> str:
     """Format by priority of the name's words; NULL when none is named.
 
     ``cdx`` alone names a format although it does not make the file an SBOM.
     """
-    return F.coalesce(
-        *[F.when(X.matches(word_name, query), label) for label, query in R.SBOM_FORMATS]
-    )
+    whens = [f"WHEN {X.match_sql(words_column, q)} THEN '{label}'" for label, q in R.SBOM_FORMATS]
+    return f"CASE {' '.join(whens)} END"
 
 
 def classify_assets(assets: DataFrame, name: str = "name") -> DataFrame:
     """Add the signal columns to a table with a file-name column. No shuffle."""
-    prepared = assets.withColumn("_words", X.words(F.col(name)))
-    word_name = F.col("_words")
-    flags = artifact_flags(F.col(name), word_name)
-    return prepared.select(
-        *[F.col(f"`{c}`") for c in assets.columns],
-        flags["is_sbom"].alias("is_sbom"),
-        sbom_format(word_name).alias("sbom_format"),
-        *[flags[f].alias(f) for f in R.ARTIFACT_FLAGS[1:]],
+    flags = [f"{_flag_sql(f, name, '_words')} AS {f}" for f in R.ARTIFACT_FLAGS]
+    return X.with_words(assets, name).selectExpr(
+        *[f"`{c}`" for c in assets.columns],
+        flags[0],
+        f"{_format_sql('_words')} AS sbom_format",
+        *flags[1:],
     )
 
 
@@ -62,16 +55,16 @@ def artifact_patterns(
     owned = releases.select(F.col("id").alias("release_id"), "repository_id").join(
         owners, "repository_id"
     )
-    files = classify_assets(
-        assets.select(
-            F.col("id").alias("asset_id"),
-            "release_id",
-            F.col("name").alias("asset_name"),
-            F.col("downloadUrl").alias("download_url"),
+    files = assets.select(
+        F.col("id").alias("asset_id"),
+        "release_id",
+        F.col("name").alias("asset_name"),
+        F.col("downloadUrl").alias("download_url"),
+    )
+    return classify_assets(
+        files.join(owned, "release_id").select(
+            "asset_id", "release_id", "repository_id", "owner", "repo", "nameWithOwner",
+            "asset_name", "download_url",
         ),
         "asset_name",
     )
-    return files.join(owned, "release_id").select(
-        "asset_id", "release_id", "repository_id", "owner", "repo", "nameWithOwner",
-        "asset_name", "download_url", "is_sbom", "sbom_format", *R.ARTIFACT_FLAGS[1:],
-    )

@@ -6,7 +6,7 @@ before anything is joined or shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestry.functions import rules as R
@@ -14,21 +14,22 @@ from attestry.functions import text as X
 from attestry.functions import values as V
 
 
-def _hit(category: str, tool: Column) -> Column:
-    return F.struct(F.lit(category).alias("tool_category"), tool.alias("tool_name"))
+def _hits_sql(rules: list[R.ToolRule], all_matches: bool, mode: str) -> str:
+    """Array of (category, tool); ``tool`` is NULL where nothing matched."""
 
+    def found(rule: R.ToolRule) -> str:
+        return f"WHEN {X.listed_match_sql('_known', '_words', rule.query, mode)} THEN '{rule.tool}'"
 
-def tool_hits(word_text: Column, rules: list[R.ToolRule], all_matches: bool, mode: str) -> Column:
-    """Array of (category, tool); ``tool`` is NULL where nothing matched."""
-    found = lambda r: F.when(X.matches(word_text, r.query, mode), F.lit(r.tool))
     if all_matches:
-        return F.array(*[_hit(r.category, found(r)) for r in rules])
-    return F.array(
-        *[
-            _hit(category, F.coalesce(*[found(r) for r in rules if r.category == category]))
-            for category in R.categories(rules)
-        ]
-    )
+        groups = [(r.category, [r]) for r in rules]
+    else:
+        groups = [(c, [r for r in rules if r.category == c]) for c in R.categories(rules)]
+    structs = [
+        f"named_struct('tool_category', '{category}', "
+        f"'tool_name', CASE {' '.join(found(r) for r in mine)} END)"
+        for category, mine in groups
+    ]
+    return f"inline(array({', '.join(structs)}))"
 
 
 def detect_tools(
@@ -39,12 +40,18 @@ def detect_tools(
     mode: str = "phrase",
 ) -> DataFrame:
     """One row per (text, category) with the first matching tool of the category,
-    or one per matching rule with ``all_matches``. No shuffle; works on streams."""
-    keep = [F.col(f"`{c}`") for c in texts.columns if c != text]
+    or one per matching rule with ``all_matches``. No shuffle; works on streams.
+
+    Texts without a single word of any rule leave before the rules are tried.
+    """
+    keep = [f"`{c}`" for c in texts.columns if c != text]
+    known = X.known_words_sql("_words", [r.query for r in rules], mode)
     return (
-        texts.select(*keep, X.words(F.col(text)).alias("_words"))
-        .select(*keep, F.inline(tool_hits(F.col("_words"), rules, all_matches, mode)))
-        .filter(F.col("tool_name").isNotNull())
+        X.with_words(texts, text)
+        .selectExpr(*keep, "_words", f"explode(array({known})) AS _known")
+        .filter("size(_known) > 0")
+        .selectExpr(*keep, _hits_sql(rules, all_matches, mode))
+        .filter("tool_name IS NOT NULL")
     )
 
 
@@ -89,7 +96,8 @@ def pattern_counts(
     counted = hits.groupBy("tool_name").agg(
         F.count_distinct(group).alias("repos"), F.count(F.col(key)).alias("workflows")
     )
-    names = texts.sparkSession.createDataFrame([(n,) for n in patterns], "tool_name string")
+    listed = ", ".join(f"'{n}'" for n in patterns)
+    names = texts.sparkSession.range(1).selectExpr(f"explode(array({listed})) AS tool_name")
     return (
         names.join(counted, "tool_name", "left")
         .select(
@@ -102,9 +110,7 @@ def pattern_counts(
 
 
 def _flagged(workflows: DataFrame, repositories: DataFrame, query: str) -> DataFrame:
-    hits = workflows.withColumn("_words", X.words(F.col("content"))).filter(
-        X.matches(F.col("_words"), query)
-    )
+    hits = X.with_words(workflows, "content").filter(X.match_sql("_words", query)).drop("_words")
     owners = repositories.select(
         F.col("id").alias("repository_id"), "nameWithOwner", "description", "url"
     )
@@ -113,19 +119,21 @@ def _flagged(workflows: DataFrame, repositories: DataFrame, query: str) -> DataF
 
 def publish_status(workflows: DataFrame, repositories: DataFrame) -> DataFrame:
     """Workflows that make an SBOM: do they upload it or cut a release?"""
-    hits = workflows.select(
-        "repository_id", "filename", X.words(F.col("content")).alias("_words")
-    ).select(
+    hits = X.with_words(workflows, "content").selectExpr(
+        "id",
         "repository_id",
         "filename",
-        X.matches(F.col("_words"), R.GENERATES_SBOM).alias("generates_sbom"),
-        X.matches(F.col("_words"), R.UPLOADS_ARTIFACT).alias("uploads_artifact"),
-        X.matches(F.col("_words"), R.CREATES_RELEASE).alias("creates_release"),
+        f"{X.match_sql('_words', R.GENERATES_SBOM)} AS generates_sbom",
+        f"{X.match_sql('_words', R.UPLOADS_ARTIFACT)} AS uploads_artifact",
+        f"{X.match_sql('_words', R.CREATES_RELEASE)} AS creates_release",
     )
     owners = repositories.select(F.col("id").alias("repository_id"), "nameWithOwner")
     return (
         hits.filter("generates_sbom")
         .join(owners, "repository_id")
+        .orderBy(
+            F.desc("uploads_artifact"), F.desc("creates_release"), "nameWithOwner", "filename", "id"
+        )
         .select(
             "nameWithOwner",
             "filename",
@@ -136,7 +144,6 @@ def publish_status(workflows: DataFrame, repositories: DataFrame) -> DataFrame:
             .otherwise("❌ No Publishing")
             .alias("publishing_status"),
         )
-        .orderBy(F.desc("uploads_artifact"), F.desc("creates_release"), "nameWithOwner", "filename")
     )
 
 

@@ -42,19 +42,21 @@ def _labelled(source: str, items: Column) -> Column:
 
 def attestations(documents: DataFrame) -> DataFrame:
     """All attestation records, from the six places a document can hold them."""
-    tools = F.transform(
-        F.coalesce("d.repository.security.tools", F.array().cast("array<string>")),
-        lambda t: F.from_json(t, schemas.INSIGHT_TOOL)["results"],
-    )
-
-    def from_tools(kind: str) -> Column:
-        return _labelled(f"tool_{kind}", F.transform(tools, lambda r: r[kind]))
+    kinds = ["adhoc", "ci", "release"]
+
+    def from_tool(tool: Column) -> Column:
+        results = F.from_json(tool, schemas.INSIGHT_TOOL)["results"]
+        return F.transform(
+            F.array(results),
+            lambda r: F.array(
+                *[F.struct(F.lit(f"tool_{k}").alias("source"), r[k].alias("item")) for k in kinds]
+            ),
+        )[0]
 
+    tools = F.coalesce("d.repository.security.tools", F.array().cast("array<string>"))
     places = F.concat(
         _labelled("release", F.col("d.repository.release.attestations")),
-        from_tools("adhoc"),
-        from_tools("ci"),
-        from_tools("release"),
+        F.flatten(F.transform(tools, from_tool)),
         _labelled("top_level", F.col("d.attestations")),
         _labelled("security_artifacts", F.col("d.security-artifacts.attestations")),
     )

@@ -24,8 +24,7 @@ def bm25_scores(
     """
     terms = list(dict.fromkeys(w for q in queries.values() for w in X.word_list(q)))
     kept = [F.col(f"`{c}`") for c in texts.columns]
-    prepared = texts.withColumn("_words", X.words(F.col(text)))
-    counted = prepared.select(
+    counted = X.with_words(texts, text).select(
         *kept,
         X.word_count(F.col("_words")).cast("double").alias("_len"),
         *[
@@ -33,19 +32,18 @@ def bm25_scores(
             for w in terms
         ],
     )
-    corpus = prepared.select(
-        X.word_count(F.col("_words")).alias("_len"),
-        *[F.contains(F.col("_words"), F.lit(f" {w} ")).alias(f"_has_{w}") for w in terms],
-    ).agg(
-        F.count("*").cast("double").alias("_n"),
-        F.avg("_len").alias("_avg"),
-        *[F.count(F.when(F.col(f"_has_{w}"), 1)).cast("double").alias(f"_df_{w}") for w in terms],
+    corpus = X.with_words(texts.select(text), text).agg(
+        F.struct(
+            F.count("*").cast("double").alias("n"),
+            F.avg(X.word_count(F.col("_words"))).alias("avg"),
+            *[F.expr(f"double(count_if(contains(_words, ' {w} ')))").alias(f"df_{w}") for w in terms],
+        )
     )
 
     def part(word: str) -> Column:
-        tf, df = F.col(f"_tf_{word}"), F.col(f"_df_{word}")
-        idf = F.ln((F.col("_n") - df + 0.5) / (df + 0.5) + 1.0)
-        norm = k1 * (1.0 - b + b * F.col("_len") / F.col("_avg"))
+        tf, df = F.col(f"_tf_{word}"), F.col(f"_c.df_{word}")
+        idf = F.ln((F.col("_c.n") - df + 0.5) / (df + 0.5) + 1.0)
+        norm = k1 * (1.0 - b + b * F.col("_len") / F.col("_c.avg"))
         return F.when(tf > 0, idf * tf * (k1 + 1.0) / (tf + norm)).otherwise(F.lit(0.0))
 
     def score(query: str) -> Column:
@@ -53,9 +51,7 @@ def bm25_scores(
         hit = X.any_of([F.col(f"_tf_{w}") > 0 for w in words])
         return F.when(hit, reduce(lambda x, y: x + y, [part(w) for w in words]))
 
-    # corpus is one row whatever the size of the texts
-    scored = counted.crossJoin(F.broadcast(corpus))
-    return scored.select(*kept, *[score(q).alias(name) for name, q in queries.items()])
+    return counted.withColumn("_c", corpus.scalar()).select(*kept, *[score(q).alias(name) for name, q in queries.items()])
 
 
 def ranked_search(
@@ -138,6 +134,6 @@ def keyword_search(
     texts: DataFrame, fields: list[str], query: str, mode: str = "any_token"
 ) -> DataFrame:
     """Rows where any of several text columns matches."""
-    joined = F.concat_ws("\n", *fields)
-    marked = texts.withColumn("_words", X.words(joined))
-    return marked.filter(X.matches(F.col("_words"), query, mode)).drop("_words")
+    joined = texts.withColumn("_text", F.concat_ws("\n", *fields))
+    marked = X.with_words(joined, "_text")
+    return marked.filter(X.match_sql("_words", query, mode)).drop("_words", "_text")

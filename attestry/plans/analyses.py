@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestry.functions import values as V
+from attestry.operators.joins import left_join_many
 
 MARK = "✓"
 
@@ -324,8 +325,8 @@ def known_sboms(patterns: DataFrame) -> DataFrame:
     """All released SBOM files."""
     return (
         patterns.filter("is_sbom")
+        .orderBy("nameWithOwner", "asset_name", "asset_id")
         .select("nameWithOwner", "asset_name", "sbom_format", "download_url")
-        .orderBy("nameWithOwner", "asset_name")
     )
 
 
@@ -384,11 +385,8 @@ def exploration_table(
     )
     traits = projects.select("project_name", "maturity", "category", "subcategory")
     named = bridge.join(traits, "project_name", "left")
-    return (
-        summary.select("nameWithOwner", "description", *EXPLORATION)
-        .join(named, "nameWithOwner", "left")
-        .drop("project_name")
-    )
+    spine = summary.select("nameWithOwner", "description", *EXPLORATION)
+    return left_join_many(spine, named, "nameWithOwner").drop("project_name")
 
 
 def signers_without_sbom(summary: DataFrame) -> DataFrame:

@@ -74,28 +74,38 @@ def project_rollup(
         *dict.fromkeys([*REPO_COUNTS.values(), *REPO_SUMS.values()]),
         "first_sbom_date",
         "first_release_with_sbom",
-        maturity_score().alias("_score"),
+        maturity_score().alias("score"),
     )
     joined = bridge.join(repos, ["_owner", "_name"], "left")
+    aggs = lambda exprs: [F.expr(sql).alias(name) for name, sql in exprs.items()]
     per_repo = joined.groupBy("project_name", "_owner", "_name", "owner", "name").agg(
-        F.bool_or("primary").alias("_primary"),
-        *[F.bool_or(flag).alias(c) for c, flag in REPO_COUNTS.items()],
-        *[F.sum(number).alias(c) for c, number in REPO_SUMS.items()],
-        F.min("first_sbom_date").alias("first_sbom_date"),
-        F.min("first_release_with_sbom").alias("first_release_with_sbom"),
-        F.max("_score").alias("_score"),
+        *aggs(
+            {
+                "is_primary": "bool_or(`primary`)",
+                **{c: f"bool_or({flag})" for c, flag in REPO_COUNTS.items()},
+                **{c: f"sum({number})" for c, number in REPO_SUMS.items()},
+                "first_sbom_date": "min(first_sbom_date)",
+                "first_release_with_sbom": "min(first_release_with_sbom)",
+                "score": "max(score)",
+            }
+        )
     )
-    named = F.concat(F.col("owner"), F.lit("/"), F.col("name")).isNotNull()
+    # a repository without owner or name counts in no distinct count
+    named = "owner IS NOT NULL AND name IS NOT NULL"
     return per_repo.groupBy("project_name").agg(
-        V.count_if(named).alias("total_repos"),
-        V.count_if(named & F.col("_primary")).alias("primary_repos"),
-        *[V.count_if(named & F.col(c)).alias(c) for c in REPO_COUNTS],
-        *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in REPO_SUMS],
-        F.min("first_sbom_date").alias("earliest_sbom_date"),
-        F.min("first_release_with_sbom").alias("earliest_release_with_sbom"),
-        # A sum and a count add up the same in any order, unlike an average.
-        F.sum("_score").alias("_score_sum"),
-        F.count("_score").alias("_score_count"),
+        *aggs(
+            {
+                "total_repos": f"count_if({named})",
+                "primary_repos": f"count_if({named} AND is_primary)",
+                **{c: f"count_if({named} AND {c})" for c in REPO_COUNTS},
+                **{c: f"sum(coalesce({c}, 0L))" for c in REPO_SUMS},
+                "earliest_sbom_date": "min(first_sbom_date)",
+                "earliest_release_with_sbom": "min(first_release_with_sbom)",
+                # A sum and a count add up the same in any order, unlike an average.
+                "score_sum": "sum(score)",
+                "score_count": "count(score)",
+            }
+        )
     )
 
 
@@ -109,17 +119,13 @@ def project_summary(
     rollup = project_rollup(project_repos, summary, case_insensitive)
     joined = projects.select(*IDENTITY, *ATTRIBUTES).join(rollup, "project_name", "left")
     counts = ["total_repos", "primary_repos", *REPO_SUMS, *REPO_COUNTS]
-    return joined.select(
+    return joined.selectExpr(
         *IDENTITY,
-        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts],
-        F.coalesce(
-            F.try_divide(
-                F.col("repos_with_sbom").cast("double"), F.col("total_repos").cast("double")
-            ),
-            F.lit(0.0),
-        ).alias("sbom_adoption_rate"),
+        *[f"coalesce({c}, 0L) AS {c}" for c in counts],
+        "coalesce(try_divide(double(repos_with_sbom), double(total_repos)), 0D) "
+        "AS sbom_adoption_rate",
         "earliest_sbom_date",
         "earliest_release_with_sbom",
-        F.try_divide(F.col("_score_sum"), F.col("_score_count")).alias("security_maturity_score"),
+        "try_divide(score_sum, score_count) AS security_maturity_score",
         *ATTRIBUTES,
     )

@@ -35,15 +35,24 @@ CATEGORY_FLAGS = {_column("uses_", c): c for c in R.SUMMARY_CATEGORIES}
 TOOL_FLAGS = {_column("uses_", t): t for t in R.SUMMARY_TOOLS}
 
 
+def _aggs(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in expressions.items()]
+
+
 def release_signals(patterns: DataFrame) -> DataFrame:
     """Artifact signals per release. Counts and flags only, so the partial
     aggregate shrinks even a release holding a third of all artifacts."""
-    return patterns.groupBy("release_id").agg(
-        F.count("*").alias("total_assets"),
-        *[F.bool_or(F.col("sbom_format") == f).alias(c) for c, f in FORMAT_FLAGS.items()],
-        *[F.bool_or(f).alias(c) for c, f in ARTIFACT_FLAGS_OF_REPO.items()],
-        V.sum_flag(F.col("is_sbom")).alias("sbom_artifact_count"),
-        V.sum_flag(F.col("is_signature")).alias("signature_artifact_count"),
+    keys = [c for c in ("release_id", "repository_id") if c in patterns.columns]
+    return patterns.groupBy(*keys).agg(
+        *_aggs(
+            {
+                "total_assets": "count(*)",
+                **{c: f"bool_or(sbom_format = '{f}')" for c, f in FORMAT_FLAGS.items()},
+                **{c: f"bool_or({f})" for c, f in ARTIFACT_FLAGS_OF_REPO.items()},
+                "sbom_artifact_count": "count_if(is_sbom)",
+                "signature_artifact_count": "count_if(is_signature)",
+            }
+        )
     )
 
 
@@ -55,30 +64,42 @@ def artifact_stats(releases: DataFrame, patterns: DataFrame) -> DataFrame:
     counts distinct values over artifact rows.
     """
     signals = release_signals(patterns)
-    flags = [*FORMAT_FLAGS, *ARTIFACT_FLAGS_OF_REPO]
-    counts = ["total_assets", "sbom_artifact_count", "signature_artifact_count"]
-    joined = releases.select("id", "repository_id", "tagName", "createdAt").join(
-        signals, F.col("id") == F.col("release_id"), "left"
-    )
-    per_release = joined.groupBy("repository_id", "id").agg(
-        *[F.bool_or(c).alias(c) for c in flags],
-        *[F.sum(c).alias(c) for c in counts],
-        F.min("tagName").alias("tagName"),
-        F.min_by("tagName", "createdAt").alias("_date_tag"),
-        F.min("createdAt").alias("createdAt"),
+    owned = "repository_id" in patterns.columns
+    flags = {c: f"bool_or({c})" for c in [*FORMAT_FLAGS, *ARTIFACT_FLAGS_OF_REPO]}
+    count_columns = ["total_assets", "sbom_artifact_count", "signature_artifact_count"]
+    counts = {c: f"sum({c})" for c in count_columns}
+    joined = releases.select(
+        F.col("id").alias("release_id"), "repository_id", "tagName", "createdAt"
+    ).join(signals, ["release_id", "repository_id"] if owned else "release_id", "left")
+    # Artifacts already joined to releases are repeated by a release listed twice;
+    # those that are not are counted once per listing here. Both count the same.
+    once = {c: f"max({c})" for c in count_columns} if owned else counts
+    per_release = joined.groupBy("repository_id", "release_id").agg(
+        *_aggs(
+            {
+                **flags,
+                **once,
+                "tagName": "min(tagName)",
+                "date_tag": "min_by(tagName, createdAt)",
+                "createdAt": "min(createdAt)",
+            }
+        )
     )
-    with_sbom = F.col("has_sbom_artifact")
     return per_release.groupBy("repository_id").agg(
-        F.count("*").alias("total_releases"),
-        *[F.bool_or(c).alias(c) for c in flags],
-        *[F.sum(c).alias(c) for c in counts],
-        V.count_if(with_sbom).alias("releases_with_sbom_count"),
-        V.count_if(F.col("has_signature_artifact")).alias("releases_with_signatures_count"),
-        F.min(F.when(with_sbom, F.col("tagName"))).alias("first_release_with_sbom"),
-        F.min(F.when(with_sbom, F.col("createdAt"))).alias("first_sbom_date"),
-        F.min_by("_date_tag", F.when(with_sbom, F.struct("createdAt", "_date_tag"))).alias(
-            "first_sbom_tag_by_date"
-        ),
+        *_aggs(
+            {
+                "total_releases": "count(*)",
+                **flags,
+                **counts,
+                "releases_with_sbom_count": "count_if(has_sbom_artifact)",
+                "releases_with_signatures_count": "count_if(has_signature_artifact)",
+                "first_release_with_sbom": "min(IF(has_sbom_artifact, tagName, NULL))",
+                "first_sbom_date": "min(IF(has_sbom_artifact, createdAt, NULL))",
+                "first_sbom_tag_by_date": (
+                    "min_by(date_tag, IF(has_sbom_artifact, struct(createdAt, date_tag), NULL))"
+                ),
+            }
+        )
     )
 
 
@@ -88,17 +109,25 @@ def workflow_stats(tools: DataFrame) -> DataFrame:
     Detections are folded to one row per workflow first; that replaces three
     filtered distinct counts by plain sums.
     """
-    category, tool = F.col("tool_category"), F.col("tool_name")
+    scanners = ", ".join(f"'{c}'" for c in R.SCANNER_CATEGORIES)
     per_workflow = tools.groupBy("repository_id", "workflow_id").agg(
-        *[F.bool_or(category == v).alias(c) for c, v in CATEGORY_FLAGS.items()],
-        *[F.bool_or(tool == v).alias(c) for c, v in TOOL_FLAGS.items()],
-        F.bool_or(category.isin(R.SCANNER_CATEGORIES)).alias("_scans"),
+        *_aggs(
+            {
+                **{c: f"bool_or(tool_category = '{v}')" for c, v in CATEGORY_FLAGS.items()},
+                **{c: f"bool_or(tool_name = '{v}')" for c, v in TOOL_FLAGS.items()},
+                "scans": f"bool_or(tool_category IN ({scanners}))",
+            }
+        )
     )
     return per_workflow.groupBy("repository_id").agg(
-        *[F.bool_or(c).alias(c) for c in [*CATEGORY_FLAGS, *TOOL_FLAGS]],
-        V.count_if(F.col("uses_sbom_generator")).alias("sbom_generator_count"),
-        V.count_if(F.col("uses_signer")).alias("signer_count"),
-        V.count_if(F.col("_scans")).alias("scanner_count"),
+        *_aggs(
+            {
+                **{c: f"bool_or({c})" for c in [*CATEGORY_FLAGS, *TOOL_FLAGS]},
+                "sbom_generator_count": "count_if(uses_sbom_generator)",
+                "signer_count": "count_if(uses_signer)",
+                "scanner_count": "count_if(scans)",
+            }
+        )
     )
 
 
@@ -129,26 +158,20 @@ def repo_summary(
         .join(workflow_stats(tools), "repository_id", "left")
         .join(flow_counts, "repository_id", "left")
     )
-    number = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    flag = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
-    return joined.select(
+    number = lambda *names: [f"coalesce({c}, 0L) AS {c}" for c in names]
+    flag = lambda *names: [f"coalesce({c}, false) AS {c}" for c in names]
+    return joined.selectExpr(
         *spine.columns,
-        *[number(c) for c in ("total_releases", "total_assets", "total_workflows")],
-        *[flag(c) for c in FORMAT_FLAGS],
-        flag("has_sbom_artifact"),
-        number("sbom_artifact_count"),
-        *[flag(c) for c in list(ARTIFACT_FLAGS_OF_REPO)[1:]],
-        number("signature_artifact_count"),
-        *[flag(c) for c in [*CATEGORY_FLAGS, *TOOL_FLAGS]],
-        *[number(c) for c in ("sbom_generator_count", "signer_count", "scanner_count")],
-        *[number(c) for c in ("releases_with_sbom_count", "releases_with_signatures_count")],
-        F.coalesce(
-            F.try_divide(
-                F.col("releases_with_sbom_count").cast("double"),
-                F.col("total_releases").cast("double"),
-            ),
-            F.lit(0.0),
-        ).alias("sbom_adoption_rate"),
+        *number("total_releases", "total_assets", "total_workflows"),
+        *flag(*FORMAT_FLAGS, "has_sbom_artifact"),
+        *number("sbom_artifact_count"),
+        *flag(*list(ARTIFACT_FLAGS_OF_REPO)[1:]),
+        *number("signature_artifact_count"),
+        *flag(*CATEGORY_FLAGS, *TOOL_FLAGS),
+        *number("sbom_generator_count", "signer_count", "scanner_count"),
+        *number("releases_with_sbom_count", "releases_with_signatures_count"),
+        "coalesce(try_divide(double(releases_with_sbom_count), double(total_releases)), 0D) "
+        "AS sbom_adoption_rate",
         "first_release_with_sbom",
         "first_sbom_date",
         "first_sbom_tag_by_date",
@@ -172,10 +195,7 @@ MATURITY_SIGNALS: dict[str, float] = {
 
 def maturity_score(weights: dict[str, float] = MATURITY_SIGNALS) -> Column:
     """Weighted count of a repository's signals, 0 to 10 by default."""
-    total = F.lit(0.0)
-    for column, weight in weights.items():
-        total = total + F.when(F.col(column), F.lit(weight)).otherwise(F.lit(0.0))
-    return total
+    return F.expr(" + ".join(f"IF({c}, {float(w)}D, 0D)" for c, w in weights.items()))
 
 
 def with_maturity_score(

@@ -50,18 +50,13 @@ def tool_summary(tools: DataFrame, repositories: DataFrame) -> DataFrame:
 
     ``repositories`` may be the repository summary or the base table.
     """
-    total = repositories.agg(F.count("*").alias("total_repos"))
-    return (
-        tool_category_summary(tools)
-        .crossJoin(F.broadcast(total))  # one row
-        .select(
-            "tool_name",
-            "tool_category",
-            "repo_count",
-            "workflow_count",
-            V.percent(F.col("repo_count"), F.col("total_repos")).alias("adoption_percentage"),
-        )
-        .orderBy(F.desc("repo_count"), "tool_name", "tool_category")
+    total = repositories.agg(F.count("*")).scalar()
+    return tool_category_summary(tools).select(
+        "tool_name",
+        "tool_category",
+        "repo_count",
+        "workflow_count",
+        V.percent(F.col("repo_count"), total).alias("adoption_percentage"),
     )
 
 
@@ -119,17 +114,15 @@ def advanced_artifacts(patterns: DataFrame) -> DataFrame:
 
     Counts are folded per repository first: the distinct count of repositories
     is then a plain count, and a repository holding a third of the artifacts is
-    one partial row per input partition.
+    one partial row per input partition. Repositories without such artifacts
+    leave after that; a filter on the single artifact would be moved below the
+    classification and repeat its text work.
     """
-    some = F.lit(False)
-    for column in ADVANCED.values():
-        some = some | F.col(column)
-    per_repo = (
-        patterns.filter(some)
-        .groupBy("repository_id")
-        .agg(*[V.sum_flag(F.col(f)).alias(c) for c, f in ADVANCED.items()])
+    per_repo = patterns.groupBy("repository_id").agg(
+        *[F.expr(f"count_if({f})").alias(c) for c, f in ADVANCED.items()]
     )
-    return per_repo.agg(
+    some = " + ".join(ADVANCED)
+    return per_repo.filter(f"{some} > 0").agg(
         F.count("repository_id").alias("repos_with_advanced_artifacts"),
         *[F.sum(c).alias(c) for c in ADVANCED],
     )

@@ -17,6 +17,11 @@ RUNTIME_CONF = {
     # Split a hot join key even when a later aggregate then needs its own
     # shuffle: that shuffle carries partial aggregates only.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # File sizes say little about derived text columns, so only really small files
+    # are broadcast by estimate; anything else is broadcast when its size, measured
+    # after its shuffle, is below the second limit.
+    "spark.sql.autoBroadcastJoinThreshold": "1MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # AQE turns a sort-merge join into a hash join when every partition is
     # small enough at run time; the size is checked, not assumed.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",

@@ -61,7 +61,7 @@ def split_project_list(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_landscape(spark: SparkSession, path: str) -> DataFrame:
     """Landscape YAML files, one row per file, parsed to the nested schema."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     parsed = files.select(
         F.input_file_name().alias("source_file"), yaml_to_json(F.col("value")).alias("json")
     )
@@ -96,5 +96,4 @@ def current_run(spark: SparkSession, root: str, table: str) -> DataFrame:
     The newest run is found from partition values; only its files are read.
     """
     frame = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    newest = frame.agg(F.max("run_ts").alias("newest"))
-    return frame.join(F.broadcast(newest), F.col("run_ts") == F.col("newest")).drop("newest")
+    return frame.filter(F.col("run_ts") == frame.agg(F.max("run_ts")).scalar())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from attestry import schemas
 from attestry.functions import values as V
+from attestry.operators.joins import left_join_many
 
 
 def describe_columns(frame: DataFrame) -> DataFrame:
@@ -69,7 +70,10 @@ def _with_url_identity(frame: DataFrame, columns: list[str]) -> DataFrame:
 def sbom_export(sboms: DataFrame) -> DataFrame:
     """Feed of the SBOM file: identity from the source URL, sorted."""
     columns = _SOURCE_COLUMNS + ["sbom_format", "sbom_file", "sbom_url", "sbom_comment"]
-    return _with_url_identity(sboms, columns).orderBy("owner", "repo")
+    # columns after the identity keep one large repository from being one sort task
+    return _with_url_identity(sboms, columns).orderBy(
+        "owner", "repo", "source_url", "sbom_format", "sbom_file", "sbom_url"
+    )
 
 
 def attestation_export(attestations: DataFrame) -> DataFrame:
@@ -78,7 +82,10 @@ def attestation_export(attestations: DataFrame) -> DataFrame:
         "attestation_source", "attestation_name", "attestation_location",
         "attestation_predicate_uri", "attestation_comment",
     ]
-    return _with_url_identity(attestations, columns).orderBy("owner", "repo", "attestation_source")
+    return _with_url_identity(attestations, columns).orderBy(
+        "owner", "repo", "attestation_source", "source_url", "attestation_name",
+        "attestation_location",
+    )
 
 
 def wide_artifact_export(
@@ -107,7 +114,9 @@ def wide_artifact_export(
         F.col("name").alias("artifact_name"),
         F.col("downloadUrl").alias("artifact_url"),
     )
-    return repos.join(rels, "repository_id", "left").join(files, "release_id", "left")
+    unreleased = repos.join(rels.select("repository_id").distinct(), "repository_id", "left_anti")
+    released = left_join_many(repos.join(rels, "repository_id"), files, "release_id")
+    return released.unionByName(unreleased, allowMissingColumns=True)
 
 
 def encode_nested(frame: DataFrame) -> DataFrame:

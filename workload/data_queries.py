@@ -793,7 +793,7 @@ def stream_tools(g):
     from workload.given import Given
 
     streamed = Given(g.spark, g.folder)
-    streamed.table = lambda name: _event_stream(g)
+    streamed.table = lambda name, texts=None: _event_stream(g)
     flows = streamed.event_workflows.select(
         F.col("id").alias("workflow_id"), "repository_id", "content"
     )

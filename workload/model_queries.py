@@ -257,7 +257,7 @@ def tools_by_category(g):
 @query("project_rollup", "SELECT * EXCLUDE (security_maturity_score) FROM rollup")
 def project_rollup(g):
     return project_summary.project_rollup(g.project_repos, g.summary).drop(
-        "_score_sum", "_score_count"
+        "score_sum", "score_count"
     )
 
 
