@@ -26,6 +26,7 @@ SUFFIXES = {
           ".zip"],
     "R": [".bundle", ".swidtag", "-cosign.pub", "-LICENSE", ".pem", "-checksums.txt", ".tgz"],
 }
+PLAIN = ".zip"
 # Steps of the derived workflows, by the number in the event's properties; the
 # numbers beyond the list run a plain checkout.
 STEPS = [
@@ -146,7 +147,8 @@ class Given:
 
     @cached_property
     def assets(self) -> DataFrame:
-        suffix = F.coalesce(
+        """Artifacts; those of lines with little discount are plain archives."""
+        special = F.coalesce(
             *[
                 F.when(
                     F.col("l_returnflag") == flag,
@@ -155,6 +157,7 @@ class Given:
                 for flag, ends in SUFFIXES.items()
             ]
         )
+        suffix = F.when(F.col("l_discount") > 0.085, special).otherwise(PLAIN)
         name = _text("pkg-", F.col("l_partkey").cast("string"), suffix)
         order = F.col("l_orderkey").cast("string")
         return self.table("lineitem").select(
@@ -290,9 +293,14 @@ class Given:
 
     @cached_property
     def project_repos(self) -> DataFrame:
+        """Repositories of each project; one segment spells its owners differently
+        from the repositories, so those are listed but never found."""
+        owner = F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lower("n_name")).otherwise(
+            F.col("n_name")
+        )
         return self.owners.select(
             self.project_name.alias("project_name"),
-            F.col("n_name").alias("owner"),
+            owner.alias("owner"),
             F.col("c_name").alias("name"),
             (F.col("c_acctbal") > 5000).alias("primary"),
             F.lit("main").alias("branch"),

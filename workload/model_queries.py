@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from attestry.functions import rules as R
+from attestry.operators import classify
 from attestry.plans import analyses, models, project_summary, repo_summary, summaries
 from attestry.plans import project_summary as PS
 from workload.prelude import pct, sum_if
@@ -38,7 +38,7 @@ def repo_summary_from_models(g):
     + " FROM agg_artifact_patterns GROUP BY release_id",
 )
 def release_signals(g):
-    return repo_summary.release_signals(g.patterns)
+    return repo_summary.release_signals(classify.classify_assets(g.assets))
 
 
 @query(
@@ -266,10 +266,11 @@ def project_summary_query(g):
     return g.project_summary
 
 
-@query("project_summary_case_insensitive", "SELECT * FROM projects_all")
+@query("project_summary_case_insensitive", "SELECT * FROM projects_folded")
 def project_summary_case_insensitive(g):
-    shouted = g.project_repos.withColumns({"owner": F.upper("owner"), "name": F.upper("name")})
-    return project_summary.project_summary(g.projects, shouted, g.summary, case_insensitive=True)
+    return project_summary.project_summary(
+        g.projects, g.project_repos, g.summary, case_insensitive=True
+    )
 
 
 _POS = lambda c: f"count(*) FILTER (WHERE {c} > 0)"

@@ -82,7 +82,7 @@ def _suffix() -> str:
         f"WHEN '{flag}' THEN [{', '.join(lit(e) for e in ends)}][l_linenumber]"
         for flag, ends in G.SUFFIXES.items()
     )
-    return f"CASE l_returnflag {whens} END"
+    return f"CASE WHEN l_discount > 0.085 THEN CASE l_returnflag {whens} END ELSE {lit(G.PLAIN)} END"
 
 
 def _steps() -> str:
@@ -136,6 +136,43 @@ _REPO_COLUMNS = ", ".join(
 _SCORE = " + ".join(f"CASE WHEN {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for c in RS.MATURITY_SIGNALS)
 _KEY = "pr.owner || '/' || pr.name"
 
+
+
+def _rollup(fold_case: bool) -> str:
+    fold = "lower" if fold_case else ""
+    return (
+        f"SELECT pr.project_name, count(DISTINCT {_KEY}) AS total_repos, "
+        f'count(DISTINCT CASE WHEN pr."primary" THEN {_KEY} END) AS primary_repos, '
+        + ", ".join(f"sum(coalesce(s.{n}, 0))::BIGINT AS {c}" for c, n in PS.REPO_SUMS.items())
+        + ", "
+        + ", ".join(
+            f"count(DISTINCT CASE WHEN s.{f} THEN {_KEY} END) AS {c}" for c, f in PS.REPO_COUNTS.items()
+        )
+        + ", min(s.first_sbom_date) AS earliest_sbom_date, "
+        "min(s.first_release_with_sbom) AS earliest_release_with_sbom, "
+        "sum(s.security_maturity_score) / nullif(count(s.security_maturity_score), 0) "
+        "AS security_maturity_score FROM base_cncf_project_repos pr LEFT JOIN base_repositories r "
+        f"ON {fold}(pr.owner) = {fold}(split_part(r.nameWithOwner, '/', 1)) "
+        f"AND {fold}(pr.name) = {fold}(split_part(r.nameWithOwner, '/', 2)) "
+        "LEFT JOIN scored s ON r.id = s.repository_id GROUP BY pr.project_name"
+    )
+
+
+def _projects(rollup: str) -> str:
+    return (
+        "SELECT "
+        + ", ".join(f"p.{c}" for c in [*PS.IDENTITY, *PS.ATTRIBUTES])
+        + ", "
+        + ", ".join(
+            f"coalesce({c}, 0)::BIGINT AS {c}"
+            for c in ["total_repos", "primary_repos", *PS.REPO_SUMS, *PS.REPO_COUNTS]
+        )
+        + f", {rate('coalesce(repos_with_sbom, 0)', 'coalesce(total_repos, 0)')} AS sbom_adoption_rate, "
+        "earliest_sbom_date, earliest_release_with_sbom, security_maturity_score "
+        f"FROM base_cncf_projects p LEFT JOIN {rollup} u ON p.project_name = u.project_name"
+    )
+
+
 CTES: dict[str, str] = {
     "owners": (
         "SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey "
@@ -190,8 +227,9 @@ CTES: dict[str, str] = {
         "FROM owners GROUP BY n_name, n_regionkey, r_name, c_mktsegment"
     ),
     "base_cncf_project_repos": (
-        f'SELECT {_PROJECT} AS project_name, n_name AS owner, c_name AS name, '
-        'c_acctbal > 5000 AS "primary" FROM owners'
+        f"SELECT {_PROJECT} AS project_name, "
+        "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN lower(n_name) ELSE n_name END AS owner, "
+        'c_name AS name, c_acctbal > 5000 AS "primary" FROM owners'
     ),
     "agg_artifact_patterns": (
         "SELECT a.id AS asset_id, a.release_id, l.repository_id, split_part(r.nameWithOwner, '/', 1) AS owner, "
@@ -245,33 +283,10 @@ CTES: dict[str, str] = {
         "LEFT JOIN flow_counts f ON r.id = f.repository_id"
     ),
     "scored": f"SELECT *, {_SCORE} AS security_maturity_score FROM agg_repo_summary",
-    "rollup": (
-        f"SELECT pr.project_name, count(DISTINCT {_KEY}) AS total_repos, "
-        f'count(DISTINCT CASE WHEN pr."primary" THEN {_KEY} END) AS primary_repos, '
-        + ", ".join(f"sum(coalesce(s.{n}, 0))::BIGINT AS {c}" for c, n in PS.REPO_SUMS.items())
-        + ", "
-        + ", ".join(
-            f"count(DISTINCT CASE WHEN s.{f} THEN {_KEY} END) AS {c}" for c, f in PS.REPO_COUNTS.items()
-        )
-        + ", min(s.first_sbom_date) AS earliest_sbom_date, "
-        "min(s.first_release_with_sbom) AS earliest_release_with_sbom, "
-        "sum(s.security_maturity_score) / count(s.security_maturity_score) AS security_maturity_score "
-        "FROM base_cncf_project_repos pr LEFT JOIN base_repositories r "
-        "ON pr.owner = split_part(r.nameWithOwner, '/', 1) AND pr.name = split_part(r.nameWithOwner, '/', 2) "
-        "LEFT JOIN scored s ON r.id = s.repository_id GROUP BY pr.project_name"
-    ),
-    "agg_cncf_project_summary": (
-        "SELECT "
-        + ", ".join(f"p.{c}" for c in [*PS.IDENTITY, *PS.ATTRIBUTES])
-        + ", "
-        + ", ".join(
-            f"coalesce({c}, 0)::BIGINT AS {c}"
-            for c in ["total_repos", "primary_repos", *PS.REPO_SUMS, *PS.REPO_COUNTS]
-        )
-        + f", {rate('coalesce(repos_with_sbom, 0)', 'coalesce(total_repos, 0)')} AS sbom_adoption_rate, "
-        "earliest_sbom_date, earliest_release_with_sbom, security_maturity_score "
-        "FROM base_cncf_projects p LEFT JOIN rollup u ON p.project_name = u.project_name"
-    ),
+    "rollup": _rollup(False),
+    "agg_cncf_project_summary": _projects("rollup"),
+    "rollup_folded": _rollup(True),
+    "projects_folded": _projects("rollup_folded"),
     "newest_releases": (
         "SELECT * FROM base_releases QUALIFY row_number() OVER "
         "(PARTITION BY repository_id ORDER BY createdAt DESC, id) <= 5"
