@@ -25,15 +25,24 @@ def newest_per_key(
     )
 
 
-def latest_responses(log: DataFrame) -> DataFrame:
-    """The newest response of each repository and query type."""
+def latest_responses(log: DataFrame, prefer: list[str] | None = None) -> DataFrame:
+    """The newest response of each repository and query type.
+
+    ``prefer`` lists query types that answer the same question, best first; a
+    repository keeps its best one of those only.
+    """
+    kind = F.col("metadata.queryType")
+    family, order = kind, []
+    if prefer:
+        family = F.when(kind.isin(prefer), F.lit(prefer[0])).otherwise(kind)
+        order = [F.array_position(F.lit(prefer), kind).asc()]
     keyed = log.select(
         "*",
-        F.col("metadata.queryType").alias("_type"),
+        family.alias("_type"),
         F.col("metadata.owner").alias("_owner"),
         F.col("metadata.repo").alias("_repo"),
     )
-    order = [F.col("metadata.timestamp").desc_nulls_last(), F.xxhash64("response").asc()]
+    order += [F.col("metadata.timestamp").desc_nulls_last(), F.xxhash64("response").asc()]
     return newest_per_key(keyed, ["_type", "_owner", "_repo"], order).drop(
         "_type", "_owner", "_repo"
     )
