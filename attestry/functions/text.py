@@ -108,9 +108,9 @@ def listed_match_sql(
     return f"coalesce({' OR '.join(tests)}, false)"
 
 
-def has_extension(name: Column, extensions: list[str]) -> Column:
-    """File-name ending test without regard to case; NULL stays NULL."""
-    return name.rlike(r"(?i)\.(" + "|".join(extensions) + ")$")
+def extension_sql(name: str, extensions: list[str]) -> str:
+    """File-name ending test without regard to case, as SQL; NULL stays NULL."""
+    return " OR ".join(f"endswith(lower(`{name}`), '.{e}')" for e in extensions)
 
 
 def tokens(text: Column) -> Column:

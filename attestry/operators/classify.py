@@ -13,8 +13,7 @@ from attestry.functions import values as V
 def _flag_sql(flag: str, name: str, words_column: str) -> str:
     if flag in R.ARTIFACT_KEYWORDS:
         return X.match_sql(words_column, R.ARTIFACT_KEYWORDS[flag])
-    ends = "|".join(R.ARTIFACT_EXTENSIONS[flag])
-    return f"`{name}` RLIKE '(?i)[.]({ends})$'"
+    return f"({X.extension_sql(name, R.ARTIFACT_EXTENSIONS[flag])})"
 
 
 def _format_sql(words_column: str) -> str:

@@ -149,18 +149,20 @@ def publish_status(workflows: DataFrame, repositories: DataFrame) -> DataFrame:
 
 def step_patterns(workflows: DataFrame, repositories: DataFrame) -> DataFrame:
     """First verbatim tool text and upload methods of SBOM-making workflows."""
-    content = F.col("content")
-    tool = F.coalesce(
-        *[F.when(F.contains(content, F.lit(t)), t) for t in R.STEP_TEXTS], F.lit("other")
+    whens = " ".join(f"WHEN contains(content, '{t}') THEN '{t}'" for t in R.STEP_TEXTS)
+    steps = (
+        X.with_words(workflows, "content")
+        .filter(X.match_sql("_words", R.GENERATES_SBOM))
+        .selectExpr(
+            "repository_id",
+            "filename",
+            f"CASE {whens} ELSE 'other' END AS detected_tool",
+            *[f"contains(content, '{t}') AS {name}" for name, t in R.UPLOAD_TEXTS.items()],
+        )
     )
-    return _flagged(workflows, repositories, R.GENERATES_SBOM).select(
-        "nameWithOwner",
-        "filename",
-        tool.alias("detected_tool"),
-        *[
-            F.contains(content, F.lit(t)).alias(name)
-            for name, t in R.UPLOAD_TEXTS.items()
-        ],
+    owners = repositories.select(F.col("id").alias("repository_id"), "nameWithOwner")
+    return steps.join(owners, "repository_id").select(
+        "nameWithOwner", "filename", "detected_tool", *R.UPLOAD_TEXTS
     )
 
 

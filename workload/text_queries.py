@@ -193,9 +193,8 @@ def description_search(g):
     f"{flag_sql('is_sigstore_bundle', 'name')} AS is_sigstore_bundle FROM base_release_assets",
 )
 def extension_flags(g):
-    return g.assets.select(
-        "id",
-        *[X.has_extension(F.col("name"), e).alias(f) for f, e in R.ARTIFACT_EXTENSIONS.items()],
+    return g.assets.selectExpr(
+        "id", *[f"{X.extension_sql('name', e)} AS {f}" for f, e in R.ARTIFACT_EXTENSIONS.items()]
     )
 
 
