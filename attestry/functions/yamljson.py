@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import json
+import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Send this module's functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _loader():
     import yaml
@@ -33,8 +39,6 @@ def _loader():
         ("float", r"^[-+]?(?:\.[0-9]+|[0-9]+(?:\.[0-9]*)?)(?:[eE][-+]?[0-9]+)?$", "-+.0123456789"),
         ("merge", r"^(?:<<)$", "<"),
     ]:
-        import re
-
         Core.add_implicit_resolver(f"tag:yaml.org,2002:{tag}", re.compile(pattern), list(first))
 
     def number(loader, node):

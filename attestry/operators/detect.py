@@ -222,3 +222,8 @@ def publication_gap(generators: DataFrame, patterns: DataFrame) -> DataFrame:
         )
         .orderBy("artifact_status", "nameWithOwner")
     )
+
+
+def unpublished(gap: DataFrame) -> DataFrame:
+    """The repositories of the gap that make SBOMs but release none."""
+    return gap.filter(F.col("artifact_status") == "❌ Missing Artifacts")

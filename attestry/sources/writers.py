@@ -199,6 +199,16 @@ def text_files(repositories: DataFrame, workflows: DataFrame, documents: DataFra
     )
 
 
+def write_text_files(files: DataFrame, path: str) -> None:
+    """Texts with their safe names, one folder per owner."""
+    files.write.mode("overwrite").option("compression", "zstd").partitionBy("owner").parquet(path)
+
+
+def write_response_table(log: DataFrame, path: str) -> None:
+    """The response log as Parquet, one folder per query type."""
+    write_parquet(responses_to_table(log), path, ["query_type"])
+
+
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count, column count and column types of every table."""
     parts = [

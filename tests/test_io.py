@@ -162,3 +162,18 @@ def test_responses_by_repo(spark, log_dir, tmp_path, rows):
     assert sorted(p for p in os.listdir(tmp_path / "by") if p.startswith("owner")) == ["owner=o"]
     flat = writers.responses_to_table(good)
     assert rows(flat, "query_type", "repo")[0] == ("Q", "a")
+
+
+def test_text_files_and_response_table(spark, log_dir, tmp_path, rows):
+    repos = spark.createDataFrame([("R1", "own/na me")], "id string, nameWithOwner string")
+    flows = spark.createDataFrame([("R1", "sub/ci.yml", "x"), ("R1", "e.yml", "")],
+                                  "repository_id string, filename string, content string")
+    docs = spark.createDataFrame([("R1", ".github/SECURITY.md", "y"), ("R9", "z.md", "z")],
+                                 "repository_id string, path string, content string")
+    files = writers.text_files(repos, flows, docs)
+    writers.write_text_files(files, str(tmp_path / "files"))
+    assert rows(spark.read.parquet(str(tmp_path / "files")), "safe_name", "content", "owner") == [
+        ("own__na_me__.github__SECURITY.md", "y", "own"), ("own__na_me__workflows__sub__ci.yml", "x", "own")]
+    good, _ = readers.split_responses(readers.read_responses(spark, str(log_dir)))
+    writers.write_response_table(good, str(tmp_path / "raw"))
+    assert [p for p in os.listdir(tmp_path / "raw") if p.startswith("q")] == ["query_type=Q"]

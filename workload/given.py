@@ -73,6 +73,10 @@ TEXT_TABLES = {"documents", "pages", "conversations"}
 _KNOWN: dict[str, tuple[StructType, bool]] = {}
 
 
+def _array_sql(items: list[str]) -> str:
+    return "array(" + ", ".join(f"'{i}'" for i in items) + ")"
+
+
 def _text(*parts):
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
@@ -148,16 +152,11 @@ class Given:
     @cached_property
     def assets(self) -> DataFrame:
         """Artifacts; those of lines with little discount are plain archives."""
-        special = F.coalesce(
-            *[
-                F.when(
-                    F.col("l_returnflag") == flag,
-                    F.try_element_at(F.array(*[F.lit(e) for e in ends]), F.col("l_linenumber")),
-                )
-                for flag, ends in SUFFIXES.items()
-            ]
+        whens = " ".join(
+            f"WHEN '{flag}' THEN try_element_at({_array_sql(ends)}, l_linenumber)"
+            for flag, ends in SUFFIXES.items()
         )
-        suffix = F.when(F.col("l_discount") > 0.085, special).otherwise(PLAIN)
+        suffix = F.expr(f"IF(l_discount > 0.085D, CASE l_returnflag {whens} END, '{PLAIN}')")
         name = _text("pkg-", F.col("l_partkey").cast("string"), suffix)
         order = F.col("l_orderkey").cast("string")
         return self.table("lineitem").select(
@@ -172,11 +171,9 @@ class Given:
 
     @cached_property
     def event_workflows(self) -> DataFrame:
-        number = F.get_json_object("props", "$.k").cast("int")
-        step = F.coalesce(
-            F.try_element_at(F.array(*[F.lit(s) for s in STEPS]), number + 1), F.lit(CHECKOUT)
-        )
-        return self.table("events").select(
+        number = "int(get_json_object(props, '$.k')) + 1"
+        step = F.expr(f"coalesce(try_element_at({_array_sql(STEPS)}, {number}), '{CHECKOUT}')")
+        return self.table("events", texts=True).select(
             _text("W", F.col("event_id").cast("string")).alias("id"),
             F.lit("WorkflowFile").alias("__typename"),
             _text("R", F.col("user_id").cast("string")).alias("repository_id"),

@@ -400,6 +400,11 @@ def publication_gap_counts(g):
     return summaries.value_counts(_gap(g), "artifact_status")
 
 
+@query("unpublished_repos", f"SELECT * FROM ({_GAP}) WHERE artifact_status LIKE '%Missing%'")
+def unpublished_repos(g):
+    return detect.unpublished(_gap(g))
+
+
 @query(
     "known_sboms",
     "SELECT nameWithOwner, asset_name, sbom_format, download_url FROM agg_artifact_patterns WHERE is_sbom",
