@@ -109,14 +109,6 @@ def pattern_counts(
     )
 
 
-def _flagged(workflows: DataFrame, repositories: DataFrame, query: str) -> DataFrame:
-    hits = X.with_words(workflows, "content").filter(X.match_sql("_words", query)).drop("_words")
-    owners = repositories.select(
-        F.col("id").alias("repository_id"), "nameWithOwner", "description", "url"
-    )
-    return hits.join(owners, "repository_id")
-
-
 def publish_status(workflows: DataFrame, repositories: DataFrame) -> DataFrame:
     """Workflows that make an SBOM: do they upload it or cut a release?"""
     hits = X.with_words(workflows, "content").selectExpr(
@@ -176,31 +168,40 @@ def tool_upload_matrix(steps: DataFrame) -> DataFrame:
 def sample_texts(
     workflows: DataFrame, repositories: DataFrame, query: str, rows: int = 3, chars: int = 1500
 ) -> DataFrame:
-    """A few matching workflows, their text cut for display."""
+    """A few matching workflows, their text cut for display.
+
+    The cut is made before the join, so long texts stay where they are.
+    """
+    excerpt = (
+        f"IF(length(content) > {chars}, "
+        f"concat(substring(content, 1, {chars}), '\n\n... (truncated) ...'), content) AS excerpt"
+    )
+    hits = (
+        X.with_words(workflows, "content")
+        .filter(X.match_sql("_words", query))
+        .selectExpr("id", "repository_id", "filename", excerpt)
+    )
+    owners = repositories.select(F.col("id").alias("repository_id"), "nameWithOwner")
     return (
-        _flagged(workflows, repositories, query)
+        hits.join(owners, "repository_id")
         .orderBy("nameWithOwner", "filename", "id")
         .limit(rows)
-        .select(
-            "nameWithOwner",
-            "filename",
-            F.when(
-                F.length("content") > chars,
-                F.concat(F.substring("content", 1, chars), F.lit("\n\n... (truncated) ...")),
-            )
-            .otherwise(F.col("content"))
-            .alias("excerpt"),
-        )
+        .select("nameWithOwner", "filename", "excerpt")
     )
 
 
 def generator_repos(workflows: DataFrame, repositories: DataFrame) -> DataFrame:
     """Repositories with a workflow that makes an SBOM, one row each."""
-    return (
-        _flagged(workflows, repositories, R.GENERATES_SBOM_WIDE)
-        .select("repository_id", "nameWithOwner", "description", "url")
+    making = (
+        X.with_words(workflows, "content")
+        .filter(X.match_sql("_words", R.GENERATES_SBOM_WIDE))
+        .select("repository_id")
         .distinct()
     )
+    owners = repositories.select(
+        F.col("id").alias("repository_id"), "nameWithOwner", "description", "url"
+    )
+    return making.join(owners, "repository_id")
 
 
 def publication_gap(generators: DataFrame, patterns: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from attestry import schemas
 from attestry.functions.yamljson import yaml_to_json
 
 CORRUPT = "_corrupt_record"
+LOG_LINES = T.StructType(schemas.RESPONSE_LOG.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -17,9 +18,8 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
 
     A line that does not parse keeps its text in ``_corrupt_record``.
     """
-    schema = T.StructType(schemas.RESPONSE_LOG.fields + [T.StructField(CORRUPT, T.StringType())])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(LOG_LINES)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)

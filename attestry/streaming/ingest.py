@@ -6,20 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from attestry import schemas
 from attestry.operators.latest import newest_per_key
 from attestry.session import work_dir
+from attestry.sources.readers import CORRUPT, LOG_LINES, split_responses
 
 LOG_KEYS = ["queryType", "owner", "repo"]
 
 
 def stream_responses(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """New log files as a stream of response records."""
-    return (
-        spark.readStream.schema(schemas.RESPONSE_LOG)
+    """New log files as a stream of response records, broken lines left out."""
+    lines = (
+        spark.readStream.schema(LOG_LINES)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", files_per_trigger)
         .json(path)
     )
+    return split_responses(lines)[0]
 
 
 def with_event_time(log: DataFrame) -> DataFrame:
@@ -75,6 +77,9 @@ class LatestSnapshot:
 
     def run(self, stream: DataFrame, checkpoint: str) -> DataFrame:
         """Process all that has arrived and return the snapshot."""
+        spark = stream.sparkSession
+        nothing = spark.createDataFrame([], stream.schema)
+        nothing.write.mode("ignore").parquet(f"{self.path}/batch=-1")
         query = (
             stream.writeStream.foreachBatch(self.store)
             .option("checkpointLocation", checkpoint)
@@ -82,7 +87,7 @@ class LatestSnapshot:
             .start()
         )
         query.awaitTermination()
-        return self.read(stream.sparkSession, stream.schema)
+        return self.read(spark, stream.schema)
 
     def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
         stored = spark.read.schema(schema).parquet(f"{self.path}/batch=*")

@@ -119,7 +119,7 @@ def log_dir(tmp_path):
     (folder / "1.jsonl").write_text("\n".join([
         response("2024-01-01T00:00:00Z", "o", "a", "a1"), response("2024-01-01T00:00:00Z", "o", "a", "a1"),
         response("2024-01-02T00:00:00Z", "o", "b", "b2")]))
-    (folder / "2.jsonl").write_text("\n".join([
+    (folder / "2.jsonl").write_text("\n".join(['{"metadata": {"queryType": "Q", "ow',
         response("2024-01-01T12:00:00Z", "o", "b", "b1"), response("2024-01-03T00:00:00Z", "o", "a", "a3")]))
     return folder
 
@@ -177,3 +177,10 @@ def test_text_files_and_response_table(spark, log_dir, tmp_path, rows):
     good, _ = readers.split_responses(readers.read_responses(spark, str(log_dir)))
     writers.write_response_table(good, str(tmp_path / "raw"))
     assert [p for p in os.listdir(tmp_path / "raw") if p.startswith("q")] == ["query_type=Q"]
+
+
+def test_snapshot_of_nothing(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    snapshot = ingest.LatestSnapshot(str(tmp_path / "snap"), ["repo"], [F.col("ts").desc()])
+    stream = ingest.with_event_time(ingest.stream_responses(spark, str(tmp_path / "log")))
+    assert snapshot.run(stream, str(tmp_path / "state")).count() == 0

@@ -200,7 +200,10 @@ def normal_branch_rules(g):
     "FROM newest_releases l JOIN answered ON l.repository_id = repo_id",
 )
 def normal_releases(g):
-    return _tables(g)["base_releases"]
+    # without a zone, as the given tables have it
+    return _tables(g)["base_releases"].withColumn(
+        "createdAt", F.col("createdAt").cast("timestamp_ntz")
+    )
 
 
 @query(
