@@ -8,7 +8,7 @@ from compare import compare, connect
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(entry.ENTRIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
