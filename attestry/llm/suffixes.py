@@ -3,7 +3,7 @@
 Texts come in batches. A batch gets a suffix array: its window starts in the order of the suffixes that begin there, cut
 at the window size. The array is merge-scanned with each existing level: suffixes that agree over a whole window are long
 matches. Then the batch becomes a level, and levels of equal size are merged until sizes differ, so a text takes part in
-logarithmically many merges. In the corpus job each anchor partition of `repeats` holds a family of its own.
+logarithmically many merges. In the corpus job the pieces of an anchor partition of `repeats` go through families of bounded size.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestry.llm import repeats
-from attestry.llm.blocks import append_columns, blocks, per_document, prefix, span, symbol_values
+from attestry.llm.blocks import Block, append_columns, blocks, per_document, prefix, span, symbol_values
 
 SIZE = 400
 ANCHOR = 128
@@ -75,39 +75,73 @@ class Family:
         self._scan(both)
 
 
-def index(size: int, batch_bytes: int = 1 << 22) -> repeats.Index:
-    """The family over the pieces of a partition; batches are Arrow batches cut at `batch_bytes`."""
+class _Job:
+    """A family over pieces, with the place of each entry."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = Family(size)
-        docs, places, queries = [], [], []
-        for batch in batches:
-            at = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("doc", "a", "query")}
-            for block in blocks(batch.column(batch.schema.get_field_index("body")), batch_bytes):
-                count = block.lengths - size + 1
-                row = per_document(count)
-                nth = np.arange(len(row)) - np.r_[0, np.cumsum(count)][row]
-                family.add(block.data, block.offsets[:-1][row] + nth)
-                row += block.low
-                docs.append(at["doc"][row])
-                places.append((at["a"][row] + nth).astype(np.int32))
-                queries.append(at["query"][row].astype(bool))
-        if not docs:
-            return
-        doc, place = np.concatenate(docs), np.concatenate(places)
-        found = family.marked & np.concatenate(queries)
+    def __init__(self, size: int) -> None:
+        self.size, self.family = size, Family(size)
+        self.docs: list[np.ndarray] = []
+        self.places: list[np.ndarray] = []
+        self.queries: list[np.ndarray] = []
+
+    def __len__(self) -> int:
+        return len(self.family.marked)
+
+    def add(self, block: Block, at: dict[str, np.ndarray], low: int, high: int) -> None:
+        """Rows `low` to `high` of a block as a batch."""
+        offsets = block.offsets[low : high + 1] - block.offsets[low]
+        count = np.diff(offsets) - self.size + 1
+        row = per_document(count)
+        nth = np.arange(len(row)) - np.r_[0, np.cumsum(count)][row]
+        self.family.add(block.data[block.offsets[low] : block.offsets[high]], offsets[:-1][row] + nth)
+        row += block.low + low
+        self.docs.append(at["doc"][row])
+        self.places.append((at["a"][row] + nth).astype(np.int32))
+        self.queries.append(at["query"][row].astype(bool))
+
+    def found(self) -> pa.RecordBatch:
+        """Marked windows as ranges."""
+        doc, place = np.concatenate(self.docs), np.concatenate(self.places)
+        found = self.family.marked & np.concatenate(self.queries)
         doc, place = doc[found], place[found]
         order = np.lexsort((place, doc))
         doc, place = doc[order], place[order]
         new = np.ones(len(doc), dtype=bool)
         new[1:] = (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + 1)
         first = np.flatnonzero(new)
-        last = np.r_[first[1:], len(doc)] - 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[first]), pa.array(place[first]), pa.array(place[last] if len(doc) else place)],
-            names=["doc", "a", "b"],
+        last = np.r_[first[1:], len(doc)] - 1 if len(doc) else first
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc[first]), pa.array(place[first]), pa.array(place[last])], names=["doc", "a", "b"]
         )
 
+
+def index(size: int, batch_bytes: int = 1 << 18, family_entries: int = 1 << 19) -> repeats.Index:
+    """Families over the pieces of a partition, which come sorted by anchor.
+
+    A family that has `family_entries` is closed where the anchor changes; pieces of different anchors can't match.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        job, last = _Job(size), None
+        for batch in batches:
+            at = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in ("anchor", "doc", "a", "query")}
+            for block in blocks(batch.column(batch.schema.get_field_index("body")), batch_bytes):
+                anchor = at["anchor"][block.low : block.high]
+                low = 0
+                if len(job) >= family_entries:
+                    other = np.flatnonzero(anchor != last)
+                    low = int(other[0]) if len(other) else len(anchor)
+                    if low:
+                        job.add(block, at, 0, low)
+                    if len(other):
+                        yield job.found()
+                        job = _Job(size)
+                if low < len(anchor):
+                    job.add(block, at, low, len(anchor))
+                last = anchor[-1]
+        if len(job):
+            yield job.found()
+
     return run
 
 
@@ -118,7 +152,7 @@ def duplicate_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     so repeated rows mark each other; rows of equal key get the spans of all of them.
     """
     frame = repeats.Frame(by_words=False, size=size, anchor=max(1, size * ANCHOR // SIZE), keep_first=False)
-    return repeats.spans(repeats.keyed(docs, key, text), frame, index(size))
+    return repeats.spans(repeats.keyed(docs, key, text), frame, index(size), ("anchor",))
 
 
 def _cut(body: bytes, spans: list[dict], whole_characters: bool) -> bytes:
