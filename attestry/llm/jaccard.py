@@ -8,10 +8,10 @@ k is 1 + n / 20 here:
    any partner would need is out. Of the others' shared elements the k - 1 most frequent are dropped as well.
 2. Each class is compared with two likely partners: the one that most often precedes it among the classes of an element,
    ordered by size, and the one that most often leads them. Exact intersections give links and first components.
-3. Elements that still connect classes of different components are compared in tiles: an element's classes of one size
-   band (or two neighbouring bands), in blocks of about `TILE`. A bitmap of the hashed set, whose differing bits count
-   no more than the differing elements, bounds the overlap from above; pairs that could reach the threshold and
-   were not compared yet go to the exact intersection.
+3. Components that still share an element form a family, and the classes by which they do are compared in tiles: those
+   of one size band (or of two neighbouring bands), in blocks of about `TILE`. A bitmap of the hashed set, whose differing
+   bits count no more than the differing elements, bounds the overlap from above; pairs that could reach the threshold
+   go to the exact intersection, unless links of the tile have joined their components by then.
 
 So no link between different components is missed, and pairs inside a component are not enumerated.
 """
@@ -211,50 +211,83 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def bitmap(grams: np.ndarray) -> bytes:
-    """The hashed set in 64 to 8192 bits, about one for each element."""
-    bits = 1 << min(13, max(6, int(len(grams) - 1).bit_length()))
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """The hashed set in 512 to 65536 bits, eight or more for each element of sets up to 8192."""
+    bits = 1 << min(16, max(9, int(len(grams) - 1).bit_length() + 3))
     out = np.zeros(bits, dtype=bool)
     out[(grams & np.uint64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(out, bitorder="little").tobytes()
+    return np.packbits(out, bitorder="little").view(np.uint64)
 
 
-def may_link(n: np.ndarray, maps: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs whose overlap may reach the threshold, judged by size and bit counts alone."""
+def may_link(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs whose overlap may reach the threshold, judged by size and bit counts alone; most alike first."""
+    maps = [bitmap(x) for x in sets]
+    n = np.array([len(x) for x in sets], np.int64)
+    # A smaller bitmap is the larger one folded.
     least = min(map(len, maps))
-    table = np.empty((len(maps), least), np.uint8)
-    for i, x in enumerate(maps):
-        # A smaller bitmap is the larger one folded.
-        table[i] = np.bitwise_or.reduce(np.frombuffer(x, np.uint8).reshape(-1, least), axis=0)
+    table = np.stack([np.bitwise_or.reduce(x.reshape(-1, least), axis=0) for x in maps])
     i, j = np.triu_indices(len(n), 1)
     fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
     i, j = i[fits], j[fits]
     differ = np.empty(len(i), np.int64)
-    for low in range(0, len(i), 1 << 14):
-        part = slice(low, low + (1 << 14))
+    step = max(1, (1 << 19) // least)
+    for low in range(0, len(i), step):
+        part = slice(low, low + step)
         differ[part] = np.bitwise_count(table[i[part]] ^ table[j[part]]).sum(axis=1, dtype=np.int64)
     # overlap <= (n + m - differ) / 2, and the threshold asks 100 * overlap >= percent * (n + m - overlap)
     bound = (n[i] + n[j] - differ) // 2
-    ok = 100 * bound >= percent * (n[i] + n[j] - bound)
+    ok = np.flatnonzero(100 * bound >= percent * (n[i] + n[j] - bound))
+    ok = ok[np.argsort(differ[ok] / (n[i] + n[j])[ok], kind="stable")]
     return i[ok], j[ok]
 
 
-def _tiles(rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that may link (step 3): (u, v)."""
+def _tile_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links between (class, root, set) rows of a tile that join different components, each join once."""
+    sets = [np.frombuffer(x[2], np.uint64) for x in rows]
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = above.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in may_link(sets, percent)), strict=True):
+        a, b = top(rows[i][1]), top(rows[j][1])
+        if a != b:
+            one, two = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
+            common = _overlap(one, two)
+            if 100 * common >= percent * (len(one) + len(two) - common):
+                above[a] = b
+                out.append((rows[i][0], rows[j][0]))
+    return out
+
+
+def _between(rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between different components (step 3)."""
     named = rows.join(roots, rows["class"] == roots["node"], "left").select(
         "gram", "class", "n", F.coalesce("root", "class").alias("root")
     )
     open_grams = named.groupBy("gram").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
+    named = stored(named.join(open_grams.select("gram", "a"), "gram"), "open")
+    families = components(named.select(F.col("root").alias("u"), F.col("a").alias("v")))
     step = math.log(100 / percent) if percent < 100 else 1.0
-    named = named.join(open_grams.select("gram"), "gram", "left_semi").withColumn(
-        "band", F.floor(F.log("n") / F.lit(step)).cast("int")
+    members = (
+        named.select("class", "n", "root")
+        .distinct()
+        .join(families.select(F.col("node").alias("root"), F.col("root").alias("family")), "root")
+        .withColumn("band", F.floor(F.log("n") / F.lit(step)).cast("int"))
     )
-    blocks_of = named.groupBy("gram", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("k"))
+    members = stored(members, "members")
+    blocks_of = members.groupBy("family", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("k"))
     near = None
     for shift, name in ((0, "own"), (1, "up"), (-1, "down")):
-        part = blocks_of.select("gram", (F.col("band") - shift).alias("band"), F.col("k").alias(name))
-        near = part if near is None else near.join(part, ["gram", "band"], "left")
-    placed = named.join(near, ["gram", "band"]).withColumn("s", F.pmod(F.xxhash64("class"), F.col("own")).cast("int"))
+        part = blocks_of.select("family", (F.col("band") - shift).alias("band"), F.col("k").alias(name))
+        near = part if near is None else near.join(part, ["family", "band"], "left")
+    placed = members.join(near, ["family", "band"]).withColumn(
+        "s", F.pmod(F.xxhash64("class"), F.col("own")).cast("int")
+    )
 
     def tiles(count: Column, make: Callable[[Column], Column]) -> Column:
         return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), make)).otherwise(
@@ -270,47 +303,37 @@ def _tiles(rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) ->
         tiles(F.coalesce("up", F.lit(0)), lambda t: tile(band, s, True, t)),
         tiles(F.coalesce("down", F.lit(0)), lambda t: tile(band - 1, t, True, s)),
     )
-    dealt = placed.select("gram", "class", "n", "root", F.explode(every).alias("tile"))
-    # A tile of one class, or of one component, has nothing to compare.
-    alive = dealt.groupBy("gram", "tile").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    dealt = dealt.join(alive.select("gram", "tile"), ["gram", "tile"], "left_semi")
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            maps = [bitmap(np.frombuffer(x.as_buffer(), np.uint64)) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary())], names=["class", "bits"])
-
-    signed_sets = sets.select("class", "held").mapInArrow(sign, "class long, bits binary")
+    dealt = placed.select("family", "class", "root", F.explode(every).alias("tile"))
+    # A tile of one component has nothing to compare.
+    alive = dealt.groupBy("family", "tile").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
+    dealt = dealt.join(alive.select("family", "tile"), ["family", "tile"], "left_semi")
     ready = (
-        dealt.join(signed_sets, "class")
-        .select(F.xxhash64("gram", "tile").alias("tile"), "class", "n", "root", "bits")
+        dealt.select(F.xxhash64("family", "tile").alias("tile"), "class", "root")
+        .join(sets.select("class", "held"), "class")
         .repartition("tile")
-        .sortWithinPartitions("tile")
+        .sortWithinPartitions("tile", "class")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            classes = np.array([x[1] for x in held])
-            n, root = np.array([x[2] for x in held], np.int64), np.array([x[3] for x in held])
-            i, j = may_link(n, [x[4] for x in held], percent)
-            other = root[i] != root[j]
-            i, j = i[other], j[other]
-            if len(i):
-                u, v = np.minimum(classes[i], classes[j]), np.maximum(classes[i], classes[j])
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-
+        now, held = None, []
         for batch in batches:
-            for row in zip(*(batch.column(x).to_pylist() for x in ("tile", "class", "n", "root", "bits")), strict=True):
-                if held and row[0] != held[0][0]:
-                    yield from close()
-                    held = []
+            out = []
+            columns = (batch.column(x).to_pylist() for x in ("class", "root", "held", "tile"))
+            for row in zip(*columns, strict=True):
+                if row[3] != now:
+                    out += _tile_links(held, percent) if held else []
+                    now, held = row[3], []
                 held.append(row)
-        if held:
-            yield from close()
+            if out:
+                yield _pair_batch(out)
+        if held and (out := _tile_links(held, percent)):
+            yield _pair_batch(out)
+
+    return ready.mapInArrow(compare, "u long, v long")
+
 
-    return ready.mapInArrow(compare, "u long, v long").distinct()
+def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in zip(*pairs, strict=True)], names=["u", "v"])
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -330,11 +353,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
     ids = F.broadcast(ids) if wanted.count() <= BROADCAST_KEYS else ids
     sets = _sets(rows.join(ids, "doc", "left_semi"), size).dropDuplicates(["class"])
     sets = stored(sets.join(wanted.select("class"), "class", "left_semi"), "sets")
-    tried = stored(_partners(candidates), "pairs")
-    links = stored(_links(tried, sets, percent), "links")
+    links = stored(_links(_partners(candidates), sets, percent), "links")
     roots = components(links)
-    rest = _tiles(candidates, roots, sets, percent).join(tried, ["u", "v"], "left_anti")
-    more = stored(_links(rest, sets, percent), "links")
+    more = stored(_between(candidates, roots, sets, percent), "links")
     roots = stored(components(links.unionByName(more)), "roots")
     classes = firsts.join(roots, firsts["class"] == roots["node"], "left").select(
         "class", "first", F.coalesce("root", "class").alias("root")
