@@ -2,7 +2,7 @@
 
 Documents with the same set form a class, and only classes are compared. With J >= 0.8 the overlap of a set of n is at
 least o = ceil(0.8 n) with any partner, so of the n - o + k smallest elements (by fingerprint) two linked sets share k.
-k is 1 + n / 20 here:
+k is 1 + n / 8 here:
 
 1. elements of these prefixes that occur in one class only are dropped; a class whose prefix shares fewer elements than
    any partner would need is out. Of the others' shared elements the k - 1 most frequent are dropped as well.
@@ -45,7 +45,9 @@ from attestry.llm.store import stored
 
 WORDS = 5
 PERCENT = 80
-TILE = 128
+TILE = 512
+#: Elements in a block of a tile, about; a set larger than this is a block of its own.
+TILE_ELEMENTS = 1 << 18
 BROADCAST_KEYS = 2_000_000
 _SALT = 512
 
@@ -82,7 +84,7 @@ def _least_overlap(n, percent: int):
 
 def _needed(n):
     """k of the module's description."""
-    return n // 20 + 1
+    return n // 8 + 1
 
 
 def _classes(docs: DataFrame, size: int) -> DataFrame:
@@ -179,7 +181,7 @@ def _candidates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     df = rows.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     rows = rows.join(df, "gram")
     own = Window.partitionBy("class")
-    least = F.floor(F.floor((percent * F.col("n") + 99) / 100) / 20) + 1
+    least = F.floor(F.floor((percent * F.col("n") + 99) / 100) / 8) + 1
     ranked = rows.withColumns(
         {
             "held": F.count("*").over(own),
@@ -280,7 +282,9 @@ def _between(rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -
         .withColumn("band", F.floor(F.log("n") / F.lit(step)).cast("int"))
     )
     members = stored(members, "members")
-    blocks_of = members.groupBy("family", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("k"))
+    blocks_of = members.groupBy("family", "band").agg(
+        F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_ELEMENTS)).cast("int").alias("k")
+    )
     near = None
     for shift, name in ((0, "own"), (1, "up"), (-1, "down")):
         part = blocks_of.select("family", (F.col("band") - shift).alias("band"), F.col("k").alias(name))
