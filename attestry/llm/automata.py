@@ -89,7 +89,7 @@ def index(size: int) -> repeats.Index:
                 if anchor != now:
                     now, automaton = anchor, Automaton()
                 extend = automaton.extend
-                seen = [extend(word) for word in body.split(b" ")]
+                seen = [extend(word) for word in body.split()]
                 out += [(doc, a + i - size + 1, a + i - size + 1) for i, n in enumerate(seen) if n >= size]
                 separators += 1
                 extend(separators)  # an integer: no word, and another one each time

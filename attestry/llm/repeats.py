@@ -126,43 +126,48 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def _list(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
+    """Row of each element of a list column (nulls hold none), and the elements."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = np.asarray(column.value_lengths().fill_null(0))
+    return per_document(sizes), column.flatten()
+
+
 def _pieces(held: DataFrame, frame: Frame) -> DataFrame:
-    """(anchor, doc, a, query, body): texts of the chunks to be compared; windows of words are joined by a space."""
+    """(anchor, doc, a, query, heavy, body): texts of the chunks to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            lists = batch.column(2)
+            row, edges = _list(batch.column(2))
+            a, b = (np.asarray(edges.field(x)).astype(np.int64) for x in ("a", "b"))
             for block in blocks(batch.column(1)):
-                found = words(block) if frame.by_words else None
-                out: list[tuple] = []
-                for i in range(block.low, block.high):
-                    base = block.offsets[i - block.low]
-                    for chunk in lists[i].as_py():
-                        if not chunk["edge"]:
-                            continue
-                        a, b = chunk["a"], chunk["b"] + frame.size
-                        if found is not None:
-                            w = found.offsets[i - block.low]
-                            low, high = found.starts[w + a : w + b], found.ends[w + a : w + b]
-                            body = b" ".join(block.data[x:y].tobytes() for x, y in zip(low, high, strict=True))
-                        else:
-                            body = block.data[base + a : base + b].tobytes()
-                        out.append((chunk["anchor"], keys[i], a, chunk["query"], chunk["heavy"], body))
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(list(x), kind)
-                            for x, kind in zip(
-                                zip(*out, strict=True),
-                                (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()),
-                                strict=True,
-                            )
-                        ],
-                        names=["anchor", "doc", "a", "query", "heavy", "body"],
-                    )
-
-    return held.select("doc", "text", "chunks").mapInArrow(
+                low, high = np.searchsorted(row, [block.low, block.high])
+                if low == high:
+                    continue
+                own = row[low:high] - block.low
+                if frame.by_words:
+                    found = words(block)
+                    first = found.starts[found.offsets[own] + a[low:high]]
+                    last = found.ends[found.offsets[own] + b[low:high] + frame.size - 1]
+                else:
+                    first = block.offsets[own] + a[low:high]
+                    last = block.offsets[own] + b[low:high] + frame.size
+                raw = block.data.tobytes()
+                bodies = [raw[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
+                part = edges.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.field("anchor"),
+                        batch.column(0).take(pa.array(row[low:high])),
+                        part.field("a"),
+                        part.field("query"),
+                        part.field("heavy"),
+                        pa.array(bodies, pa.binary()),
+                    ],
+                    names=["anchor", "doc", "a", "query", "heavy", "body"],
+                )
+
+    return held.filter(F.col("edges").isNotNull()).select("doc", "text", "edges").mapInArrow(
         run, "anchor long, doc long, a int, query boolean, heavy boolean, body binary"
     )
 
@@ -227,37 +232,59 @@ def spans(docs: DataFrame, frame: Frame, index: Index, sort: tuple[str, ...] = (
     else:
         judged = judged.withColumns({"known": F.col("n") > 1, "edge": edge, "query": F.col("n") == 1})
     lists = (
-        judged.withColumn("heavy", F.col("kinds") > HEAVY)
-        .filter("known OR edge")
+        judged.filter("known OR edge")
         .groupBy("doc")
-        .agg(F.collect_list(F.struct("anchor", "a", "b", "known", "edge", "query", "heavy")).alias("chunks"))
+        .agg(
+            F.collect_list(F.when(F.col("known"), F.struct("a", "b"))).alias("known"),
+            F.collect_list(
+                F.when(F.col("edge"), F.struct("anchor", "a", "b", "query", (F.col("kinds") > HEAVY).alias("heavy")))
+            ).alias("edges"),
+        )
     )
     held = stored(docs.join(lists, "doc"), "held")
-    pieces = _pieces(held, frame)
+    pieces = stored(_pieces(held, frame), "pieces")
     light = pieces.filter("NOT heavy").repartition("anchor")
     if sort:
         light = light.sortWithinPartitions(*sort)
     marked = light.mapInArrow(index, "doc long, a int, b int").unionByName(_counted(pieces, frame))
     # A document has at most one row for each of its windows here.
     more = marked.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("more"))
-    kind = "array<struct<start:int,end:int>>"
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
-            out = []
-            for known, found in zip(batch.column("known").to_pylist(), batch.column("more").to_pylist(), strict=True):
-                out.append(
-                    [{"start": s, "end": e} for s, e in merged([(x["a"], x["b"] + frame.size) for x in known + (found or [])])]
-                )
-            return {"spans": pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))}
+            parts = [_list(batch.column(batch.schema.get_field_index(x))) for x in ("known", "more")]
+            row = np.concatenate([x for x, _ in parts])
+            start, last = (np.concatenate([np.asarray(v.field(x)) for _, v in parts]).astype(np.int64) for x in "ab")
+            row, start, end = _union(row, start, last + frame.size)
+            sizes = np.bincount(row, minlength=batch.num_rows)
+            ranges = pa.StructArray.from_arrays(
+                [pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], names=["start", "end"]
+            )
+            ends = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+            return {"spans": pa.ListArray.from_arrays(ends, ranges)}
 
         return work
 
-    known = F.transform(F.filter("chunks", lambda c: c["known"]), lambda c: F.struct(c["a"].alias("a"), c["b"].alias("b")))
-    joined = held.select("doc", "text", known.alias("known")).join(more, "doc", "left")
+    joined = held.select("doc", "text", "known").join(more, "doc", "left")
+    kind = "array<struct<start:int,end:int>>"
     return append_columns(joined, {"spans": kind}, make, ("known", "more")).filter(F.size("spans") > 0)
 
 
+def _union(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unions of the ranges of each row, disjoint and ascending; those that touch become one."""
+    if not len(row):
+        return row, start, end
+    order = np.lexsort((start, row))
+    row, start, end = row[order], start[order], end[order]
+    scale = int(end.max()) + 1
+    upto = np.maximum.accumulate(row * scale + end)
+    new = np.r_[True, (row * scale + start)[1:] > upto[:-1]]
+    new[1:] |= row[1:] != row[:-1]
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(row)] - 1
+    return row[first], start[first], upto[last] - row[first] * scale
+
+
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Union of ranges as disjoint ascending ones; those that touch become one."""
     out: list[tuple[int, int]] = []
