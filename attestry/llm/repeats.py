@@ -196,7 +196,9 @@ def _counted(pieces: DataFrame, frame: Frame) -> DataFrame:
                     names=["anchor", "window", "doc", "a", "query"],
                 )
 
-    rows = pieces.filter("heavy").mapInArrow(run, "anchor long, window long, doc long, a int, query boolean")
+    # Pieces of one document or file are spread over all tasks before they are cut into windows.
+    spread = pieces.filter("heavy").repartition("anchor", "doc", "a")
+    rows = spread.mapInArrow(run, "anchor long, window long, doc long, a int, query boolean")
     seen = (
         rows.groupBy("anchor", "window")
         .agg(F.count("*").alias("n"), F.min(F.struct("doc", "a")).alias("first"))
