@@ -88,11 +88,11 @@ def sample_rows(labelled: DataFrame, key: str, label: str, rows: int) -> DataFra
 
 
 def _costs(languages: list[str], frames: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int) -> PpmModel:
-    seen = np.unique(np.concatenate([g for g, _ in frames.values()]) & 0xFF)
+    # Zero stands before a text, so it has a symbol of its own.
+    seen = np.unique(np.concatenate([[0], *(g & 0xFF for g, _ in frames.values())]))
     symbol = np.zeros(256, dtype=np.int32)
     symbol[seen] = np.arange(1, len(seen) + 1)
     kinds = len(seen) + 1
-    # Zero stands before a text; it is the never-seen symbol unless texts hold that byte.
     parts = {
         name: tuple(symbol[(g >> shift) & 0xFF] for shift in (24, 16, 8, 0)) + (n.astype(np.float64),)
         for name, (g, n) in frames.items()
