@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from attestry.llm.blocks import append_columns, blocks
 
 ROWS_PER_LANGUAGE = 600
-MAX_CONTEXTS = 1 << 15
+MAX_CONTEXTS = 1 << 13
 UNKNOWN = "und"
 GRACE = 64
 FIELDS = {"lang_pred": "string", "score": "double", "bits_per_byte": "double"}
@@ -143,13 +143,12 @@ def fit(
     What comes to the driver are the grams of the sample, so their number is bounded by its bytes.
     """
     usable = labelled.filter(F.col(text).isNotNull() & F.col(label).isNotNull() & (F.length(text) > 0))
-    rows = count_grams(sample_rows(usable, key, label, rows_per_language), text, label).toPandas()
-    if not len(rows):
+    rows = count_grams(sample_rows(usable, key, label, rows_per_language), text, label).toArrow()
+    if not rows.num_rows:
         return None
-    frames = {
-        name: (group["gram"].to_numpy(np.int64), group["n"].to_numpy(np.int64))
-        for name, group in rows.groupby("label", sort=True)
-    }
+    names = np.array(rows.column("label").to_pylist(), dtype=object)
+    gram, n = (rows.column(x).to_numpy() for x in ("gram", "n"))
+    frames = {name: (gram[names == name], n[names == name]) for name in set(names)}
     return _costs(sorted(frames), frames, max_contexts)
 
 
