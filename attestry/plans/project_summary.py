@@ -74,7 +74,10 @@ def project_rollup(
         *dict.fromkeys([*REPO_COUNTS.values(), *REPO_SUMS.values()]),
         "first_sbom_date",
         "first_release_with_sbom",
-        maturity_score().alias("score"),
+        # A summary scored with weights of its own keeps them.
+        (F.col("security_maturity_score") if "security_maturity_score" in summary.columns else maturity_score()).alias(
+            "score"
+        ),
     )
     joined = bridge.join(repos, ["_owner", "_name"], "left")
     aggs = lambda exprs: [F.expr(sql).alias(name) for name, sql in exprs.items()]

@@ -39,10 +39,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names storage every executor can reach, so tables
-    and stream checkpoints written there survive the loss of an executor. Only
-    where it is unset (plain local runs) is a temporary folder made.
+    and stream checkpoints written there survive the loss of an executor. Where
+    it is unset, a local session gets a temporary folder; on a cluster, whose
+    executors would not see that, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="attestry-")
     return f"{base.rstrip('/')}/attestry-{purpose}-{uuid.uuid4().hex}"

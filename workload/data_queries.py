@@ -742,9 +742,7 @@ def saved_sql(g):
 
 def _event_stream(g):
     schema = g.table("events").schema
-    return (
-        g.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(g.folder)
-    )
+    return g.spark.readStream.schema(schema).parquet(f"{g.folder}/events.parquet")
 
 
 @query(
@@ -796,7 +794,7 @@ def stream_tools(g):
     from workload.given import Given
 
     streamed = Given(g.spark, g.folder)
-    streamed.table = lambda name, texts=None: _event_stream(g)
+    streamed.table = lambda name: _event_stream(g)
     flows = streamed.event_workflows.select(
         F.col("id").alias("workflow_id"), "repository_id", "content"
     )

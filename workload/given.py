@@ -11,7 +11,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from attestry import schemas
 from attestry.operators import classify, detect, latest
@@ -67,10 +66,6 @@ FLOW_HEAD = "\non: push\njobs:\n  main:\n    steps:\n      - uses: "
 LEVELS = {0: "graduated", 1: "incubating", 2: "sandbox", 3: "archived"}
 
 
-# Tables whose rows are long texts.
-TEXT_TABLES = {"documents", "pages", "conversations"}
-# Schema and whether the table is one file, read once per path.
-_KNOWN: dict[str, tuple[StructType, bool]] = {}
 
 
 def _array_sql(items: list[str]) -> str:
@@ -88,24 +83,9 @@ class Given:
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
 
-    def table(self, name: str, texts: bool | None = None) -> DataFrame:
-        """A given table; ``texts`` tells that long texts will be made from it."""
-        path = f"{self.folder}/{name}.parquet"
-        if path not in _KNOWN:
-            frame = self.spark.read.parquet(path)
-            _KNOWN[path] = (frame.schema, len(frame.inputFiles()) == 1)
-        schema, one_file = _KNOWN[path]
-        frame = self.spark.read.schema(schema).parquet(path)
-        texts = name in TEXT_TABLES if texts is None else texts
-        return self.spread(frame) if one_file and texts else frame
-
-    def spread(self, frame: DataFrame) -> DataFrame:
-        """Hand the rows of a one-file table to all cores before work on texts.
-
-        A small single file is one input split and would keep one core busy. A
-        table of several files, as any large one is, is left as it is.
-        """
-        return frame.repartition(self.spark.sparkContext.defaultParallelism)
+    def table(self, name: str) -> DataFrame:
+        """A given table, of one file or many."""
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # Base tables --------------------------------------------------------------
 
@@ -173,7 +153,7 @@ class Given:
     def event_workflows(self) -> DataFrame:
         number = "int(get_json_object(props, '$.k')) + 1"
         step = F.expr(f"coalesce(try_element_at({_array_sql(STEPS)}, {number}), '{CHECKOUT}')")
-        return self.table("events", texts=True).select(
+        return self.table("events").select(
             _text("W", F.col("event_id").cast("string")).alias("id"),
             F.lit("WorkflowFile").alias("__typename"),
             _text("R", F.col("user_id").cast("string")).alias("repository_id"),
@@ -239,7 +219,7 @@ class Given:
             '"url":"https://github.com/o/', key, '",', tools, "},", top,
             '"security-artifacts":{"attestations":[', one, "]}", boms, "}",
         )
-        return self.table("orders", texts=True).select(
+        return self.table("orders").select(
             _text("R", F.col("o_custkey").cast("string")).alias("repo_id"),
             _text("https://github.com/own", F.col("o_custkey").cast("string"), "/repo", key,
                   "/blob/HEAD/security-insights.yml").alias("source_url"),
