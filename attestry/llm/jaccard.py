@@ -48,7 +48,7 @@ PERCENT = 80
 TILE = 512
 #: Elements in a block of a tile, about; a set larger than this is a block of its own.
 TILE_ELEMENTS = 1 << 18
-BROADCAST_KEYS = 2_000_000
+BROADCAST_KEYS = 100_000
 _SALT = 512
 
 

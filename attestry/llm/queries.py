@@ -20,8 +20,15 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, and a lower limit for broadcasts by measured size: the operators here run
+    many joins in a row, whose broadcasts would add up on the driver."""
+    configure(spark).conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "2MB")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import decontaminate, jaccard, language, packing, suffixes
-from attestry.llm.queries import table, tokenizer
+from attestry.llm.queries import prepared, table, tokenizer
 from attestry.llm.store import stored
-from attestry.session import configure
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labels teach; texts without letters and texts that no model explains go."""
+    prepared(spark)
     return language.keep_known(docs, language.fit(docs))
 
 
@@ -55,7 +55,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    configure(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
