@@ -18,8 +18,8 @@ import numpy as np
 
 from attestry.llm.blocks import Block, per_document, prefix, span, symbol_values
 
-CACHED_PIECES = 1 << 20
-ENCODE_BYTES = 1 << 21
+CACHED_PIECES = 1 << 19
+ENCODE_BYTES = 1 << 20
 _HIGH = 0x500  # code points below are split here; the texts with others go to the library
 
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
