@@ -164,6 +164,14 @@ def _tables(g):
     return N.normalise(g.log)
 
 
+def _release_tables(g):
+    return N.normalise(g.release_log)
+
+
+def _workflow_tables(g):
+    return N.normalise(g.workflow_log)
+
+
 @query(
     "normal_repositories",
     "SELECT repo_id AS id, CASE WHEN extended THEN 'Repository' END AS __typename, c_name AS name, "
@@ -197,32 +205,32 @@ def normal_branch_rules(g):
 @query(
     "normal_releases",
     "SELECT l.id, 'Release' AS __typename, l.repository_id, l.name, l.tagName, l.url, l.createdAt "
-    "FROM newest_releases l JOIN answered ON l.repository_id = repo_id",
+    "FROM base_releases l JOIN answered ON l.repository_id = repo_id",
 )
 def normal_releases(g):
     # without a zone, as the given tables have it
-    return _tables(g)["base_releases"].withColumn(
+    return _release_tables(g)["base_releases"].withColumn(
         "createdAt", F.col("createdAt").cast("timestamp_ntz")
     )
 
 
 @query(
     "normal_assets",
-    "SELECT a.id, 'ReleaseAsset' AS __typename, a.release_id, a.name, a.downloadUrl FROM first_assets a "
-    "JOIN newest_releases l ON a.release_id = l.id JOIN answered ON l.repository_id = repo_id",
+    "SELECT a.id, 'ReleaseAsset' AS __typename, a.release_id, a.name, a.downloadUrl FROM base_release_assets a "
+    "JOIN base_releases l ON a.release_id = l.id JOIN answered ON l.repository_id = repo_id",
 )
 def normal_assets(g):
-    return _tables(g)["base_release_assets"]
+    return _release_tables(g)["base_release_assets"]
 
 
 @query(
     "normal_workflows",
     "SELECT repository_id || '_' || f.id || '-' || filename AS id, 'WorkflowFile' AS __typename, "
-    "repository_id, f.id || '-' || filename AS filename, content FROM first_flows f "
+    "repository_id, f.id || '-' || filename AS filename, content FROM event_workflows f "
     "JOIN answered ON repository_id = repo_id WHERE extended",
 )
 def normal_workflows(g):
-    return _tables(g)["base_workflows"]
+    return _workflow_tables(g)["base_workflows"]
 
 
 @query(
@@ -252,10 +260,10 @@ _BAD_YAML = "'a: [1, 2' || chr(10) || 'b: }'"
     "SELECT repo_id, '.github/dependabot.yml', 'yml', 'version: 2' || chr(10) FROM answered "
     "WHERE c_mktsegment = 'MACHINERY' UNION ALL "
     "SELECT repository_id, '.github/workflows/' || f.id || '-' || filename, 'yml', content "
-    "FROM first_flows f JOIN answered ON repository_id = repo_id WHERE extended)",
+    "FROM event_workflows f JOIN answered ON repository_id = repo_id WHERE extended)",
 )
 def normal_repo_files(g):
-    return _tables(g)["base_repo_files"]
+    return _tables(g)["base_repo_files"].unionByName(_workflow_tables(g)["base_repo_files"])
 
 
 @query(
@@ -286,14 +294,20 @@ def bad_insights(g):
 @query(
     "normal_row_counts",
     "SELECT 'base_repositories' AS table_name, count(*) AS row_count FROM answered UNION ALL "
-    "SELECT 'base_releases', count(*) FROM newest_releases JOIN answered ON repository_id = repo_id UNION ALL "
+    "SELECT 'base_releases', count(*) FROM base_releases JOIN answered ON repository_id = repo_id UNION ALL "
     "SELECT 'base_security_md', count(*) FROM answered WHERE c_mktsegment = 'BUILDING' UNION ALL "
-    "SELECT 'base_workflows', count(*) FROM first_flows JOIN answered ON repository_id = repo_id WHERE extended",
+    "SELECT 'base_workflows', count(*) FROM event_workflows JOIN answered ON repository_id = repo_id WHERE extended",
 )
 def normal_row_counts(g):
     tables = _tables(g)
-    names = ["base_repositories", "base_releases", "base_security_md", "base_workflows"]
-    return N.row_counts({n: tables[n] for n in names})
+    return N.row_counts(
+        {
+            "base_repositories": tables["base_repositories"],
+            "base_releases": _release_tables(g)["base_releases"],
+            "base_security_md": tables["base_security_md"],
+            "base_workflows": _workflow_tables(g)["base_workflows"],
+        }
+    )
 
 
 @query(
@@ -304,6 +318,15 @@ def newest_releases(g):
     return latest.newest_releases(g.releases, 5).drop("__typename")
 
 
+@query(
+    "first_assets",
+    "SELECT id, release_id, name, downloadUrl FROM base_release_assets "
+    "QUALIFY row_number() OVER (PARTITION BY release_id ORDER BY id) <= 3",
+)
+def first_assets(g):
+    return latest.first_assets(g.assets, 3).drop("__typename")
+
+
 @query(
     "latest_responses",
     "SELECT event_type AS query_type, user_id::VARCHAR AS repo, event_id::VARCHAR AS response_id FROM events "
@@ -333,15 +356,9 @@ def response_log_table(g):
 
 # Project lists and landscape -------------------------------------------------------
 
-_LISTED = (
-    "SELECT * FROM base_cncf_project_repos QUALIFY row_number() OVER "
-    "(PARTITION BY project_name ORDER BY name) <= 3"
-)
-
-
 def _targets_sql(where: str, projects: str = "true", plain: bool = True) -> str:
     rich = (
-        f"SELECT l.owner, l.name, l.project_name FROM ({_LISTED}) l "
+        f"SELECT l.owner, l.name, l.project_name FROM base_cncf_project_repos l "
         f"JOIN base_cncf_projects p USING (project_name) WHERE ({where}) AND ({projects})"
     )
     return rich + (
@@ -389,11 +406,10 @@ def last_projects(g):
 
 @query(
     "project_bridge",
-    f'SELECT project_name, owner, name, "primary", \'main\' AS branch FROM ({_LISTED})',
+    'SELECT project_name, owner, name, "primary", \'main\' AS branch FROM base_cncf_project_repos',
 )
 def project_bridge(g):
-    rich = g.project_list.withColumn("seq", F.lit(1))
-    return N.project_repos(N.projects(rich, "seq"))
+    return N.project_repos(g.project_list.filter("repos IS NOT NULL"))
 
 
 _ITEMS = (
@@ -694,20 +710,20 @@ def table_profile(g):
 
 @query(
     "nested_as_text",
-    "SELECT repo_id, len(list(l.id)) AS releases FROM answered "
-    "JOIN newest_releases l ON l.repository_id = repo_id GROUP BY repo_id",
+    "SELECT l.id AS release_id, count(*) AS assets FROM answered JOIN base_releases l ON l.repository_id = repo_id "
+    "JOIN base_release_assets a ON a.release_id = l.id GROUP BY l.id",
 )
 def nested_as_text(g):
     """Responses with nested parts as JSON text, counted from that text."""
+    release = F.col("response.repository.releases.nodes")[0]
     flat = writers.encode_nested(
-        g.log.select(
-            F.col("response.repository.id").alias("repo_id"),
-            F.col("response.repository.releases.nodes").alias("nodes"),
+        g.release_log.select(
+            release["id"].alias("release_id"), release["releaseAssets"]["nodes"].alias("nodes")
         ).filter("nodes IS NOT NULL")
     )
     ids = F.from_json("nodes", "array<struct<id:string>>")
     present = F.filter(ids, lambda n: n["id"].isNotNull())
-    return flat.select("repo_id", F.size(present).cast("bigint").alias("releases"))
+    return flat.select("release_id", F.size(present).cast("bigint").alias("assets"))
 
 
 @query(

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry import schemas
-from attestry.operators import classify, detect, latest
+from attestry.operators import classify, detect
+from attestry.operators import normalise as N
 from attestry.plans import project_summary, repo_summary
 from attestry.session import configure
 
@@ -316,83 +317,53 @@ class Given:
 
     # Nested inputs --------------------------------------------------------------
 
-    @cached_property
-    def log(self) -> DataFrame:
-        """A response log: one nested record per customer.
-
-        Each holds at most five releases of at most fifty artifacts and ten
-        workflows, as one answer of the collected interface does, so the groups
-        gathered here have a fixed bound.
-        """
-        blob = schemas.RESPONSE_LOG["response"].dataType["repository"].dataType
-        node = lambda f: blob[f].dataType
-        empty = lambda f: F.lit(None).cast(node(f))
-
-        releases = latest.newest_releases(self.releases, 5)
-        kept = releases.select(F.col("id").alias("release_id"), "repository_id")
-        assets = latest.first_assets(
-            self.assets.join(kept, "release_id", "left_semi"), 50
-        ).groupBy("release_id").agg(
-            F.sort_array(
-                F.collect_list(F.struct("id", "__typename", "name", "downloadUrl"))
-            ).alias("nodes")
-        )
-        asset = F.transform(
-            "nodes", lambda a: F.struct(a["__typename"], a["id"], a["name"], a["downloadUrl"])
-        )
-        files = F.when(F.col("nodes").isNotNull(), F.array_append(asset, F.lit(None)))
-        per_repo = (
-            releases.join(assets, F.col("id") == F.col("release_id"), "left")
-            .groupBy("repository_id")
-            .agg(
-                F.sort_array(
-                    F.collect_list(
-                        F.struct(
-                            "id", "name", "tagName", "url",
-                            F.date_format("createdAt", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"),
-                            F.struct(files.alias("nodes")).alias("releaseAssets"),
-                        )
-                    )
-                ).alias("rels")
-            )
-        )
-        release = F.transform(
-            "rels",
-            lambda r: F.struct(
-                F.lit("Release").alias("__typename"), r["id"], r["name"], r["tagName"], r["url"],
-                r["at"].alias("createdAt"), r["releaseAssets"],
-            ),
-        )
-        newest_flows = latest.newest_per_key(
-            self.event_workflows, ["repository_id"], [F.col("id").asc()], 10
+    def _answers(self, rows: DataFrame, parts: dict[str, Column]) -> DataFrame:
+        """Log records of rows that carry a customer's columns. A repository has the identity
+        and `parts`; a customer deep in debt did not answer."""
+        segment = F.col("c_mktsegment")
+        name = _text(F.col("n_name"), "/", F.col("c_name"))
+        parts = parts | {
+            "__typename": F.lit("Repository"),
+            "id": _text("R", F.col("c_custkey").cast("string")),
+            "name": F.col("c_name"),
+            "nameWithOwner": name,
+            "url": _text("https://github.com/", name),
+        }
+        answer = schemas.RESPONSE_LOG["response"].dataType
+        repo = F.struct(
+            *[
+                parts.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in answer["repository"].dataType.fields
+            ]
         )
-        flows = newest_flows.groupBy(F.col("repository_id").alias("flow_repo")).agg(
-            F.sort_array(F.collect_list(F.struct("id", "filename", "content"))).alias("flows")
+        metadata = F.struct(
+            F.when(segment == "AUTOMOBILE", N.LEGACY).otherwise(N.EXTENDED).alias("queryType"),
+            F.lit("2024-05-01T00:00:00Z").alias("timestamp"),
+            F.col("n_name").alias("owner"),
+            F.col("c_name").alias("repo"),
+            F.struct(F.col("n_name").alias("owner"), F.col("c_name").alias("name")).alias("inputs"),
         )
-        entry = F.transform(
-            "flows",
-            lambda w: F.struct(
-                F.concat(w["id"], F.lit("-"), w["filename"]).alias("name"),
-                F.struct(
-                    F.lit("Blob").alias("__typename"), w["id"].alias("id"),
-                    w["content"].alias("text"),
-                ).alias("object"),
-            ),
+        return rows.select(
+            metadata.cast(schemas.RESPONSE_LOG["metadata"].dataType).alias("metadata"),
+            F.struct(F.when(F.col("c_acctbal") >= -900, repo).alias("repository"))
+            .cast(answer)
+            .alias("response"),
         )
-        folder = F.struct(
-            F.lit("scripts").alias("name"),
-            F.struct(
-                F.lit("Tree").alias("__typename"), F.lit("T").alias("id"),
-                F.lit(None).cast("string").alias("text"),
-            ).alias("object"),
+
+    def _of_owner(self, rows: DataFrame) -> DataFrame:
+        """Rows with a repository_id and the columns of its customer."""
+        return rows.join(
+            self.owners, F.col("repository_id") == _text("R", F.col("c_custkey").cast("string"))
         )
 
+    @cached_property
+    def log(self) -> DataFrame:
+        """A response log of one record per customer: its identity, rules and known files."""
+        node = schemas.RESPONSE_LOG["response"].dataType["repository"].dataType
+        no_rule = F.lit(None).cast(node["branchProtectionRules"].dataType["nodes"].dataType.elementType)
+
         def rule(pattern: str, reviews):
-            flags = [
-                F.lit(False).alias(c.name) for c in node("defaultBranchRef")[
-                    "branchProtectionRule"
-                ].dataType.fields[1:8]
-            ]
+            flags = [F.lit(False).alias(name) for name in N.RULE_COLUMNS[:7]]
             return F.struct(
                 F.lit("BranchProtectionRule").alias("__typename"), *flags,
                 reviews.cast("int").alias("requiredApprovingReviewCount"),
@@ -406,80 +377,87 @@ class Given:
 
         segment = F.col("c_mktsegment")
         insight = _text("header:\n  schema-version: 2.0.0\nproject:\n  name: ", F.col("c_name"), "\n")
-        repo = F.struct(
-            F.lit("Repository").alias("__typename"),
-            _text("R", F.col("c_custkey").cast("string")).alias("id"),
-            F.col("c_name").alias("name"),
-            _text(F.col("n_name"), "/", F.col("c_name")).alias("nameWithOwner"),
-            _text("https://github.com/", F.col("n_name"), "/", F.col("c_name")).alias("url"),
-            segment.alias("description"),
-            (F.col("c_acctbal") > 0).alias("hasVulnerabilityAlertsEnabled"),
-            F.struct(
-                F.lower(segment).alias("key"), segment.alias("name"), F.lit("").alias("spdxId")
-            ).alias("licenseInfo"),
-            F.struct(
-                F.lit("main").alias("name"),
-                F.when(F.col("c_acctbal") > 0, rule("main", F.col("c_nationkey"))).alias(
-                    "branchProtectionRule"
+        rules = F.array(no_rule, rule("release/*", F.lit(1)), no_rule, rule("v*", F.lit(2)))
+        return self._answers(
+            self.owners,
+            {
+                "description": segment,
+                "hasVulnerabilityAlertsEnabled": F.col("c_acctbal") > 0,
+                "licenseInfo": F.struct(
+                    F.lower(segment).alias("key"), segment.alias("name"), F.lit("").alias("spdxId")
                 ),
-            ).alias("defaultBranchRef"),
-            F.struct(
-                F.when(
-                    segment != "HOUSEHOLD",
-                    F.array(
-                        F.lit(None).cast(node("branchProtectionRules")["nodes"].dataType.elementType),
-                        rule("release/*", F.lit(1)),
-                        F.lit(None).cast(node("branchProtectionRules")["nodes"].dataType.elementType),
-                        rule("v*", F.lit(2)),
+                "defaultBranchRef": F.struct(
+                    F.lit("main").alias("name"),
+                    F.when(F.col("c_acctbal") > 0, rule("main", F.col("c_nationkey"))).alias(
+                        "branchProtectionRule"
                     ),
-                ).alias("nodes")
-            ).alias("branchProtectionRules"),
-            F.struct(
-                F.when(F.col("rels").isNotNull(), F.array_append(release, F.lit(None))).alias("nodes")
-            ).alias("releases"),
-            F.when(
-                F.col("flows").isNotNull(),
-                F.struct(
-                    F.lit("Tree").alias("__typename"),
-                    F.array_append(entry, folder).alias("entries"),
                 ),
-            ).alias("workflows"),
-            F.when(segment == "BUILDING", text_blob(_text("# Policy of ", F.col("c_name")))).alias(
-                "securityPolicy"
-            ),
-            F.when(segment == "MACHINERY", text_blob(F.lit("version: 2\n"))).alias("dependabot"),
-            F.when(segment == "MACHINERY", text_blob(insight)).alias("insightsFileRootUpper"),
-            F.when(segment.isin("FURNITURE", "MACHINERY"), text_blob(insight)).alias(
-                "insightsFileRootLower"
-            ),
-            empty("insightsFileGithubUpper").alias("insightsFileGithubUpper"),
-            F.when(segment == "BUILDING", text_blob(F.lit("a: [1, 2\nb: }"))).alias(
-                "insightsFileGithubLower"
-            ),
-        )
-        joined = self.owners.join(
-            per_repo,
-            F.col("repository_id") == _text("R", F.col("c_custkey").cast("string")),
-            "left",
-        ).join(flows, F.col("flow_repo") == _text("R", F.col("c_custkey").cast("string")), "left")
-        return joined.select(
-            F.struct(
-                F.when(segment == "AUTOMOBILE", "GetRepoDataArtifacts")
-                .otherwise("GetRepoDataExtendedInfo")
-                .alias("queryType"),
-                F.lit("2024-05-01T00:00:00Z").alias("timestamp"),
-                F.col("n_name").alias("owner"),
-                F.col("c_name").alias("repo"),
-                F.struct(F.col("n_name").alias("owner"), F.col("c_name").alias("name")).alias(
-                    "inputs"
+                "branchProtectionRules": F.struct(
+                    F.when(segment != "HOUSEHOLD", rules).alias("nodes")
                 ),
-            ).alias("metadata"),
-            F.struct(F.when(F.col("c_acctbal") >= -900, repo).alias("repository")).alias("response"),
-        ).select(
-            F.col("metadata").cast(schemas.RESPONSE_LOG["metadata"].dataType).alias("metadata"),
-            F.col("response").cast(schemas.RESPONSE_LOG["response"].dataType).alias("response"),
+                "securityPolicy": F.when(
+                    segment == "BUILDING", text_blob(_text("# Policy of ", F.col("c_name")))
+                ),
+                "dependabot": F.when(segment == "MACHINERY", text_blob(F.lit("version: 2\n"))),
+                "insightsFileRootUpper": F.when(segment == "MACHINERY", text_blob(insight)),
+                "insightsFileRootLower": F.when(
+                    segment.isin("FURNITURE", "MACHINERY"), text_blob(insight)
+                ),
+                "insightsFileGithubLower": F.when(
+                    segment == "BUILDING", text_blob(F.lit("a: [1, 2\nb: }"))
+                ),
+            },
+        )
+
+    @cached_property
+    def release_log(self) -> DataFrame:
+        """A response log of one record per release, which holds its artifacts: the lines of one
+        order, few by nature."""
+        assets = self.assets.groupBy("release_id").agg(
+            F.sort_array(
+                F.collect_list(F.struct("id", "__typename", "name", "downloadUrl"))
+            ).alias("nodes")
+        )
+        asset = F.transform(
+            "nodes", lambda a: F.struct(a["__typename"], a["id"], a["name"], a["downloadUrl"])
+        )
+        files = F.when(F.col("nodes").isNotNull(), F.array_append(asset, F.lit(None)))
+        release = F.struct(
+            F.lit("Release").alias("__typename"),
+            F.col("id"),
+            F.col("name"),
+            F.col("tagName"),
+            F.col("url"),
+            F.date_format("createdAt", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("createdAt"),
+            F.struct(files.alias("nodes")).alias("releaseAssets"),
+        )
+        rows = self.releases.join(assets, F.col("id") == F.col("release_id"), "left").select(
+            "repository_id", F.array_append(F.array(release), F.lit(None)).alias("rels")
+        )
+        return self._answers(
+            self._of_owner(rows), {"releases": F.struct(F.col("rels").alias("nodes"))}
         )
 
+    @cached_property
+    def workflow_log(self) -> DataFrame:
+        """A response log of one record per workflow file, next to a folder, which is none."""
+        entry = F.struct(
+            F.concat_ws("-", "id", "filename").alias("name"),
+            F.struct(
+                F.lit("Blob").alias("__typename"), F.col("id"), F.col("content").alias("text")
+            ).alias("object"),
+        )
+        folder = F.struct(
+            F.lit("scripts").alias("name"),
+            F.struct(
+                F.lit("Tree").alias("__typename"), F.lit("T").alias("id"),
+                F.lit(None).cast("string").alias("text"),
+            ).alias("object"),
+        )
+        rows = self.event_workflows.select("repository_id", F.array(entry, folder).alias("entries"))
+        tree = F.struct(F.lit("Tree").alias("__typename"), F.col("entries"))
+        return self._answers(self._of_owner(rows), {"workflows": tree})
+
     @cached_property
     def event_log(self) -> DataFrame:
         """A response log with many records per key: one per event."""
@@ -497,26 +475,15 @@ class Given:
 
     @cached_property
     def project_list(self) -> DataFrame:
-        """Input entries in both shapes: projects with their repositories, and
-        plain targets. A project lists the repositories of one nation and
-        segment that have the lowest three keys, a fixed bound."""
-        few = latest.newest_per_key(
-            self.project_repos.withColumn("_key", F.col("name")),
-            ["project_name"],
-            [F.col("_key").asc()],
-            3,
-        )
-        repos = few.groupBy("project_name").agg(
-            F.sort_array(F.collect_list(F.struct("name", "owner", "primary", "branch"))).alias("r")
-        )
-        ref = F.transform(
-            "r", lambda x: F.struct(x["owner"], x["name"], x["primary"], x["branch"])
-        )
+        """Input entries in both shapes: projects, one entry for each repository of theirs, and
+        plain targets."""
+        ref = F.struct("owner", "name", "primary", "branch")
+        repos = self.project_repos.select("project_name", F.array(ref).alias("repos"))
         rich = self.projects.join(repos, "project_name").select(
             F.lit(None).cast("string").alias("owner"),
             F.lit(None).cast("string").alias("name"),
             *schemas.PROJECT_COLUMNS,
-            ref.alias("repos"),
+            "repos",
         )
         plain = self.table("supplier").select(
             F.lit("suppliers").alias("owner"), F.col("s_name").alias("name")

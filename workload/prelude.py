@@ -291,14 +291,6 @@ CTES: dict[str, str] = {
         "SELECT * FROM base_releases QUALIFY row_number() OVER "
         "(PARTITION BY repository_id ORDER BY createdAt DESC, id) <= 5"
     ),
-    "first_assets": (
-        "SELECT a.* FROM base_release_assets a SEMI JOIN newest_releases n ON a.release_id = n.id "
-        "QUALIFY row_number() OVER (PARTITION BY a.release_id ORDER BY a.id) <= 50"
-    ),
-    "first_flows": (
-        "SELECT * FROM event_workflows QUALIFY row_number() OVER "
-        "(PARTITION BY repository_id ORDER BY id) <= 10"
-    ),
     # repositories that answered, and by which query
     "answered": (
         "SELECT *, 'R' || c_custkey AS repo_id, n_name || '/' || c_name AS nwo, "
