@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from attestry.operators import latest
 from attestry.operators import normalise as N
 from attestry.plans import models
-from attestry.session import configure
+from attestry.session import configure, work_dir
 from attestry.sources import readers, writers
 
 Tables = dict[str, DataFrame]
@@ -21,6 +21,12 @@ def wanted_responses(log: DataFrame, targets: DataFrame) -> DataFrame:
     return named.join(keys, ["owner", "repo"], "left_semi").drop("owner", "repo")
 
 
+def _stored(frame: DataFrame, purpose: str) -> DataFrame:
+    path = work_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def base_tables(
     spark: SparkSession,
     log_path: str,
@@ -33,9 +39,13 @@ def base_tables(
 
     Only the newest response of a repository counts, and one of the fuller query
     before one of the older query, so a repository has one row. With a
-    project list, only its repositories in the given scope and maturity do.
+    project list, only its repositories in the given scope and maturity do. The
+    log is parsed once and stored as columns, the newest responses of it and the
+    landed insight texts once each; all tables are read from those.
     """
-    log, bad_lines = readers.split_responses(readers.read_responses(spark, log_path))
+    log, bad_lines = readers.split_responses(
+        _stored(readers.read_responses(spark, log_path), "log")
+    )
     log = latest.latest_responses(log, prefer=[N.EXTENDED, N.LEGACY])
     tables: Tables = {}
     bad: Tables = {"bad_log_lines": bad_lines}
@@ -50,8 +60,9 @@ def base_tables(
         records = N.projects(entries.withColumn("_seq", F.monotonically_increasing_id()), "_seq")
         tables["base_cncf_projects"] = records.drop("repos")
         tables["base_cncf_project_repos"] = N.project_repos(records)
+    log = _stored(log, "newest")
     tables.update(N.normalise(log))
-    landed = N.land_insights(N.insight_texts(log), fetched_at)
+    landed = _stored(N.land_insights(N.insight_texts(log), fetched_at), "insights")
     tables["base_si_documents"], bad["bad_insights"] = N.split_insights(landed)
     return tables, bad
 
