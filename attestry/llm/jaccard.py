@@ -2,7 +2,7 @@
 
 Documents with the same set form a class, and only classes are compared. With J >= 0.8 the overlap of a set of n is at
 least o = ceil(0.8 n) with any partner, so of the n - o + k smallest elements (by fingerprint) two linked sets share k.
-k is 1 + n / 16 here:
+k is 1 + n / 8 here:
 
 1. elements of these prefixes that occur in one class only are dropped; a class whose prefix shares fewer elements than
    any partner would need is out. Of the others' shared elements the k - 1 most frequent are dropped as well.
@@ -84,7 +84,7 @@ def _least_overlap(n, percent: int):
 
 def _needed(n):
     """k of the module's description."""
-    return n // 16 + 1
+    return n // 8 + 1
 
 
 def _classes(docs: DataFrame, size: int) -> DataFrame:
@@ -181,7 +181,7 @@ def _candidates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     df = rows.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     rows = rows.join(df, "gram")
     own = Window.partitionBy("class")
-    least = F.floor(F.floor((percent * F.col("n") + 99) / 100) / 16) + 1
+    least = F.floor(F.floor((percent * F.col("n") + 99) / 100) / 8) + 1
     ranked = rows.withColumns(
         {
             "held": F.count("*").over(own),
