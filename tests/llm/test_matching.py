@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from attestry.llm import automata, decontaminate, jaccard, search, suffixes
+from attestry.llm.components import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -105,6 +106,21 @@ def test_jaccard_components(spark, odd, empty, documents, monkeypatch, tile):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] in (1, 2, 3, 7, 8)) == [1, 7]
 
 
+@pytest.mark.parametrize("block", [1 << 18, 7])
+def test_components_of_several_blocks(spark, block):
+    rng = random.Random(block)
+    links = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)]
+    links += [(200, i) for i in range(201, 230)] + [(5, 5), (300, 300), (-4, 3), (-4, 3), (3, -4)]
+    best = {x: x for pair in links for x in pair}
+    for _ in best:
+        for a, b in links:
+            best[a] = best[b] = min(best[a], best[b])
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    got = components(spark.createDataFrame(links, "u long, v long").repartition(3), block=block)
+    assert sorted(map(tuple, got.collect())) == sorted((x, best[x]) for x in linked)
+    assert components(spark.createDataFrame([], "u long, v long"), block=block).count() == 0
+
+
 def brute_words(docs):
     seen, out = {}, []
     for k, t in sorted(docs, key=lambda x: (x[0] is not None, x[0])):
