@@ -7,8 +7,20 @@ from pyspark.sql import DataFrame
 from attestry.session import work_dir
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` as a Parquet table under `spark.checkpoint.dir`; survives the loss of executors."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` as a Parquet table under `spark.checkpoint.dir`; survives the loss of executors.
+
+    What the write has shuffled is removed once the table is complete, as nothing reads it again.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, purpose)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
