@@ -157,7 +157,7 @@ def leaks(
     """
     sizes = [window, *range(window - 1, SHORTEST - 1, -1)]
     items = _window_rows(benchmark, item, item_text, sizes, window, None)
-    known = build_filter(items.select(F.col("window").alias("key"), F.lit(1).alias("n")), FILTER_BITS, keep_all=True)
+    known = build_filter(items.select(F.col("window").alias("key"), F.lit(1).alias("n")), FILTER_BITS)
     used = [r[0] for r in items.select("size").distinct().collect()]  # at most one for each window size
     shared = docs.sparkSession.sparkContext.broadcast(known)
 

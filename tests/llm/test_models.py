@@ -115,6 +115,35 @@ def test_lm_with_rare_words_joined(odd, empty):
     assert lmscore.score(empty, model, counts).count() == 0
 
 
+@pytest.mark.parametrize("hot, bits", [(1 << 18, 1 << 20), (7, 1 << 20), (7, 1 << 9)])
+def test_lm_scores_follow_the_definition(spark, hot, bits):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, 30) % 50) for _ in range(40)] + ["only here", "", "w1 unseen w2"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    training = frame.filter("doc_id < 42")
+    words = Counter(t for x in texts[:42] for t in tokens(x))
+    pairs = Counter(p for x in texts[:42] for p in zip(tokens(x), tokens(x)[1:], strict=False))
+    assert sum(n == 1 for n in pairs.values()) > 50
+    total, whole = sum(words.values()), sum(words.values()) + len(words) + 1
+    counts = stored(lmscore.word_counts(training), "words")
+    model = lmscore.fit(training, counts, hot_words=hot, filter_bits=bits, weight=5.0)
+    assert model.total == total and (model.shards > 1) == (bits < 1 << 16)
+    got = {r["doc_id"]: r["score"] for r in lmscore.score(frame, model, counts).collect()}
+    exact = 0
+    for i, text in enumerate(texts):
+        want, last = 0.0, None
+        for at, t in enumerate(tokens(text)):
+            p = (words[t] + 1) / whole
+            if at:
+                seen = pairs[last, t] and 2 ** int(math.log2(pairs[last, t]))
+                p = (seen + 5.0 * p) / (words[last] + 5.0)
+            want, last = want + math.log10(p), t
+        assert got[i] >= want - 1e-9
+        exact += got[i] == pytest.approx(want, rel=1e-9)
+    # The others met a false probe.
+    assert exact >= (0.9 if bits > 1 << 16 else 0.05) * len(texts)
+
+
 def test_filter_never_reads_less(spark):
     keys = np.random.default_rng(3).integers(0, 1 << 62, 5000)
     n = np.random.default_rng(4).integers(1, 3000, 5000)
