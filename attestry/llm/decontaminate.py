@@ -5,6 +5,10 @@ replaced by typed placeholders. Windows of `WINDOW` template words of the docume
 benchmark. A match along one alignment counts if its slots agree: each value of the benchmark stands for one value of the
 document and the other way round. So a question with other numbers or names is found, and a text that merely has numbers
 in the same places is not.
+
+A window with fewer literal words than slots says little as a template. It is matched on its lower-cased words instead,
+whether it is the document's or the benchmark's window that has so many slots; so are whole items of at most `WINDOW`
+words, in addition to their template. A verbatim copy is found whatever its share of slots.
 """
 
 from __future__ import annotations
@@ -17,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.llm.blocks import Block, blocks, per_document, prefix, signed, span, symbol_values, words
+from attestry.llm.blocks import Block, blocks, mix, per_document, prefix, signed, span, symbol_values, words
 from attestry.llm.lmscore import build_filter
 
 WINDOW = 8
-#: A shorter item is one window; items below this many words are not looked for.
+#: An item shorter than `WINDOW` is one window; below this many words it has no template and is found verbatim only.
 SHORTEST = 4
 #: The share of an item's words that matching windows must cover.
 COVERED = 0.5
@@ -37,6 +41,9 @@ min h hour hours day days week weeks month months year years dollar dollars cent
 degree degrees mph kmh watt watts volt volts joule joules newton newtons""".split()
 
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03))
+#: Tell hashes of the words themselves from those of templates. `_ANY` is what any window of a document may meet, `_HEAVY`
+#: what only its windows of many slots may.
+_ANY, _HEAVY = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0x3C79AC492BA7B653)
 _SOLID = np.zeros(256, dtype=bool)
 _SOLID[48:58] = _SOLID[65:91] = _SOLID[97:123] = _SOLID[128:] = True
 _DIGIT = (np.arange(256) >= 48) & (np.arange(256) < 58)
@@ -85,24 +92,26 @@ def template(block: Block) -> Template:
     return Template(symbols, values, number | name | unit, np.searchsorted(doc, np.arange(len(found.offsets))))
 
 
-def _windows(of: Template, size: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """First word and document of the windows with enough literal words; `whole`: documents of just this size."""
+def _windows(of: Template, size: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and document of the windows, and which have enough literal words; `whole`: documents of just this size."""
     n = np.diff(of.offsets)
     fits = n == size if whole else n >= size
     count = np.where(fits, n - size + 1, 0)
     doc = per_document(count)
     at = of.offsets[:-1][doc] + np.arange(len(doc)) - np.r_[0, np.cumsum(count)][doc]
     literal = np.r_[0, np.cumsum(~of.slots)]
-    rich = 2 * (literal[at + size] - literal[at]) >= size
-    return at[rich], doc[rich]
+    return at, doc, 2 * (literal[at + size] - literal[at]) >= size
 
 
 _OUT = "key long, at int, n_words int, size int, window long, slots array<long>"
 
 
-def _rows(keys: pa.Array, of: Template, at: np.ndarray, doc: np.ndarray, size: int, hashes: np.ndarray):
-    slot = of.slots[at[:, None] + np.arange(size)] if len(at) else np.zeros((0, size), dtype=bool)
-    values = of.values[at[:, None] + np.arange(size)][slot] if len(at) else np.zeros(0, np.uint64)
+def _rows(
+    keys: pa.Array, of: Template, at: np.ndarray, doc: np.ndarray, size: int, hashes: np.ndarray, template: bool
+):
+    """Rows of windows; those matched on their words have no slots."""
+    slot = of.slots[at[:, None] + np.arange(size)] & template
+    values = of.values[at[:, None] + np.arange(size)][slot]
     ends = np.r_[0, np.cumsum(slot.sum(axis=1))].astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [
@@ -125,16 +134,26 @@ def _window_rows(
         for batch in batches:
             for block in blocks(batch.column(1)):
                 of = template(block)
-                sums = prefix(of.symbols)
+                sums, plain = prefix(of.symbols), prefix(of.values)
                 keys = batch.column(0).slice(block.low, block.high - block.low)
                 for size in sizes:
-                    at, doc = _windows(of, size, size < whole_below)
-                    hashes = span(sums, at, at + size) ^ np.uint64(size)
-                    if wanted is not None:
-                        ok = wanted(hashes)
-                        at, doc, hashes = at[ok], doc[ok], hashes[ok]
-                    if len(at):
-                        yield _rows(keys, of, at, doc, size, hashes)
+                    at, doc, rich = _windows(of, size, size < whole_below)
+                    words_of = span(plain, at, at + size) ^ np.uint64(size)
+                    if keep:
+                        literal = ((np.ones(len(at), dtype=bool), _ANY), (~rich, _HEAVY))
+                    else:
+                        any_of = ~rich | (np.diff(of.offsets)[doc] <= whole_below)
+                        literal = ((any_of, _ANY), (~any_of, _HEAVY))
+                    found = [(ok, mix(words_of[ok] ^ salt), False) for ok, salt in literal]
+                    if size >= SHORTEST:
+                        found.append((rich, span(sums, at[rich], at[rich] + size) ^ np.uint64(size), True))
+                    for chosen, hashes, templates in found:
+                        chosen = np.flatnonzero(chosen)
+                        if wanted is not None:
+                            ok = wanted(hashes)
+                            chosen, hashes = chosen[ok], hashes[ok]
+                        if len(chosen):
+                            yield _rows(keys, of, at[chosen], doc[chosen], size, hashes, templates)
 
     return texts.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")).mapInArrow(run, _OUT)
 
@@ -155,7 +174,7 @@ def leaks(
     or item id is a value like any other; repeated rows give the same row once. Documents meet the benchmark through a
     filter of fixed size, so only windows that are likely in it are shuffled.
     """
-    sizes = [window, *range(window - 1, SHORTEST - 1, -1)]
+    sizes = list(range(window, 0, -1))
     items = _window_rows(benchmark, item, item_text, sizes, window, None)
     known = build_filter(items.select(F.col("window").alias("key"), F.lit(1).alias("n")), FILTER_BITS)
     used = [r[0] for r in items.select("size").distinct().collect()]  # at most one for each window size

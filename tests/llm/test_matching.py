@@ -230,6 +230,22 @@ def test_leaks(spark, odd, empty, documents):
     assert decontaminate.without_leaks(odd, items).columns == odd.columns
 
 
+def test_leaks_of_many_slots(spark):
+    question = "If Anna buys 12 apples for 3 dollars each and sells 5 of them to Bob, how many apples are left?"
+    sums = "What is 12 45 7 3 88 19 20 41 5 6 75"
+    texts = ["What is 12 45 7 3", "Who Wrote The Old Man And The Sea", sums, question, "Moby Dick", "Call me Ishmael now",
+             "Anna has a red dog and a cat"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [f"we asked. {t} and more" for t in texts] + [t.upper() for t in texts] + [t.lower() for t in texts]
+    want = {(i, i % 7) for i in range(21)} | {(2, 0), (9, 0), (16, 0)}
+    others = ["What is 13 46 8 4", "Who Read The Young Boy And The Lake", sums.replace("7", "9"), "Moby is Dick"]
+    rows += [*others, "so said Anna has a red dog and a cat", "he saw that Moby Dick"]
+    want |= {(25, 6), (26, 4)}
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()}
+    assert got == want
+
+
 def test_leaks_query(spark, query, documents):
     items = pairs(spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").withColumnRenamed("item_id", "doc_id"))
     squeeze = lambda t: " ".join(t.split())
