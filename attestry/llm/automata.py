@@ -84,13 +84,13 @@ def index(size: int) -> repeats.Index:
         now, automaton, separators = None, Automaton(), 0
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            columns = (batch.column(x).to_pylist() for x in ("anchor", "doc", "a", "body"))
-            for anchor, doc, a, body in zip(*columns, strict=True):
+            columns = (batch.column(x).to_pylist() for x in ("anchor", "row", "a", "body"))
+            for anchor, row, a, body in zip(*columns, strict=True):
                 if anchor != now:
                     now, automaton = anchor, Automaton()
                 extend = automaton.extend
                 seen = [extend(word) for word in body.split()]
-                out += [(doc, a + i - size + 1, a + i - size + 1) for i, n in enumerate(seen) if n >= size]
+                out += [(row, a + i - size + 1, a + i - size + 1) for i, n in enumerate(seen) if n >= size]
                 separators += 1
                 extend(separators)  # an integer: no word, and another one each time
             if out:
@@ -99,20 +99,20 @@ def index(size: int) -> repeats.Index:
                         pa.array(list(x), kind)
                         for x, kind in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)
                     ],
-                    names=["doc", "a", "b"],
+                    names=["row", "a", "b"],
                 )
 
     return run
 
 
-def later_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """(doc, text, spans): ranges of words covered by a window of `size` words that also starts earlier.
+def later_spans(rows: DataFrame, size: int = SIZE) -> DataFrame:
+    """(row, text, spans): ranges of words covered by a window of `size` words that also starts earlier.
 
-    Earlier is a smaller key (a null key is the smallest, and `doc` the smallest long), or an earlier place of the same
-    document. Rows that share a key count as one document. Null and short texts have no window.
+    `rows` is (doc, row, text). Earlier is a smaller key (a null key is the smallest, and `doc` the smallest long), of
+    equal keys a smaller row number, or an earlier place of the same row. Null and short texts have no window.
     """
     frame = repeats.Frame(by_words=True, size=size, anchor=max(1, size * ANCHOR // SIZE), keep_first=True)
-    return repeats.spans(repeats.keyed(docs, key, text), frame, index(size), ("anchor", "doc", "a"))
+    return repeats.spans(rows, frame, index(size), ("anchor", "doc", "row", "a"))
 
 
 def _kept(found: list[bytes], spans: list[dict]) -> list[bytes]:
@@ -144,23 +144,22 @@ def summary(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
-            n, digest, whole = [], [], []
+            n, digest = [], []
             for body, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 found = _split(body)
                 kept = _kept(found, spans)
                 n.append(len(found) - len(kept))
                 digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-                whole.append(hashlib.sha256(b" ".join(found)).hexdigest())
-            return {"n_removed": pa.array(n, pa.int64()), "kept_sha256": pa.array(digest), "whole": pa.array(whole)}
+            return {"n_removed": pa.array(n, pa.int64()), "kept_sha256": pa.array(digest)}
 
         return work
 
-    rows = repeats.keyed(docs, key, text).withColumn("__key", F.col("doc"))
+    rows = repeats.keyed(repeats.numbered(docs.select(key, text)), key, text)
     base = append_columns(rows, {"n_words": "long", "whole": "string"}, make_base, ("text",))
-    fields = {"n_removed": "long", "kept_sha256": "string", "whole": "string"}
-    found = append_columns(later_spans(docs, key, text, size), fields, make, ("text", "spans"))
-    return base.join(found.dropDuplicates(["doc", "whole"]), ["doc", "whole"], "left").select(
-        F.when(F.col("__key") != repeats.NULL_ID, F.col("__key")).alias(key),
+    fields = {"n_removed": "long", "kept_sha256": "string"}
+    found = append_columns(later_spans(rows, size), fields, make, ("text", "spans"))
+    return base.join(found, "row", "left").select(
+        F.when(F.col("doc") != repeats.NULL_ID, F.col("doc")).alias(key),
         "n_words",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"),

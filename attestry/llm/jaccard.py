@@ -40,7 +40,7 @@ from attestry.llm.blocks import (
     words,
 )
 from attestry.llm.components import components
-from attestry.llm.repeats import keyed
+from attestry.llm.repeats import ROW, keyed, numbered
 from attestry.llm.store import stored
 
 WORDS = 5
@@ -347,15 +347,26 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
     nothing. A null key is smaller than all others, and so may be the id of a component. Rows that share a key are
     documents of their own with the same name.
     """
-    rows = keyed(docs, key, text)
+    found = _led(keyed(docs, key, text), size, percent)
+    shown = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    return found.select(
+        shown("doc").alias(key), F.col("n").alias("n_shingles"), shown("component").alias("component_id")
+    )
+
+
+def _led(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """`rows` without the text, with `n` and the smallest document of the component, by key; of numbered rows, by key and
+    number, (doc, row)."""
+    name = "row" if "row" in rows.columns else "doc"
+    order = F.struct("doc", "row") if name == "row" else F.col("doc")
     base = stored(_classes(rows, size), "classes")
     candidates = stored(_candidates(rows, size, percent), "candidates")
-    firsts = base.filter("n > 0").groupBy("class").agg(F.min("doc").alias("first"))
+    firsts = base.filter("n > 0").groupBy("class").agg(F.min(order).alias("first"))
     wanted = stored(firsts.join(candidates.select("class").distinct(), "class", "left_semi"), "wanted")
-    ids = wanted.select(F.col("first").alias("doc"))
+    ids = wanted.select(F.col(f"first.{name}" if name == "row" else "first").alias(name))
     # Broadcast behind a count; beyond it the texts are shuffled.
     ids = F.broadcast(ids) if wanted.count() <= BROADCAST_KEYS else ids
-    sets = _sets(rows.join(ids, "doc", "left_semi"), size).dropDuplicates(["class"])
+    sets = _sets(rows.join(ids, name, "left_semi"), size).dropDuplicates(["class"])
     sets = stored(sets.join(wanted.select("class"), "class", "left_semi"), "sets")
     links = stored(_links(_partners(candidates), sets, percent), "links")
     roots = components(links)
@@ -366,22 +377,20 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = W
     )
     least = classes.groupBy("root").agg(F.min("first").alias("component"))
     classes = classes.join(least, "root").select("class", "component")
-    shown = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    with_words = base.filter("n > 0").join(classes, "class").select("doc", "n", "component")
-    without = base.filter("n = 0").select("doc", "n", F.col("doc").alias("component"))
-    return with_words.unionByName(without).select(
-        shown("doc").alias(key), F.col("n").alias("n_shingles"), shown("component").alias("component_id")
-    )
+    names = [x for x in rows.columns if x != "text"]
+    with_words = base.filter("n > 0").join(classes, "class").select(*names, "n", "component")
+    without = base.filter("n = 0").select(*names, "n", order.alias("component"))
+    return with_words.unionByName(without)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Rows of `docs` that lead their component: the smallest key of each. Rows without words all stay.
 
-    Of repeated rows (equal key and text) one stays.
+    Of rows with one key, null or not, the first of the scan leads. Of repeated rows (equal key and text) one stays.
     """
-    found = join(docs, key, text, size, percent)
-    gone = found.filter(~F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__gone"))
-    gone = stored(gone.distinct(), "gone")
+    held = numbered(docs)
+    found = _led(keyed(held, key, text), size, percent)
+    gone = stored(found.filter("row != component.row").select(F.col("row").alias(ROW)), "gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
-    left = docs.join(gone, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    left = held.join(gone, ROW, "left_anti").drop(ROW)
     return left.dropDuplicates([key, text])

@@ -12,7 +12,8 @@ chunk, the unit that is shuffled.
    anchor, and the operator's own index (suffix automata, suffix arrays) finds the windows that they share. Anchors with
    more than `HEAVY` contents would make unbounded groups; their windows are counted by fingerprint instead.
 
-Fingerprints of 64 bits are used in pairs (anchor and digest, anchor and window).
+Fingerprints of 64 bits are used in pairs (anchor and digest, anchor and window). Each row is a document of its own, told
+apart by a number that is stored with it; documents are ordered by key and then by this number.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from attestry.llm.blocks import (
 from attestry.llm.store import stored
 
 HEAVY = 64
+ROW = "__row"
 
 
 @dataclass(frozen=True)
@@ -102,27 +104,35 @@ def _chunks(docs: DataFrame, frame: Frame, whole: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for block in blocks(batch.column(1)):
+            keys, rows = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("doc", "row"))
+            for block in blocks(batch.column("text")):
                 doc, a, b, anchor, digest = chunks_of(frame, block)
                 columns = {"anchor": pa.array(signed(anchor))}
                 if whole:
                     columns |= {
                         "digest": pa.array(signed(digest)),
                         "doc": pa.array(keys[block.low + doc]),
+                        "row": pa.array(rows[block.low + doc]),
                         "a": pa.array(a.astype(np.int32)),
                         "b": pa.array(b.astype(np.int32)),
                     }
                 yield pa.RecordBatch.from_pydict(columns)
 
-    schema = "anchor long" + ", digest long, doc long, a int, b int" * whole
+    schema = "anchor long" + ", digest long, doc long, row long, a int, b int" * whole
     return docs.mapInArrow(run, schema)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with a number for each row, stored, as a later scan of `docs` may number them differently."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, text): the key as a long, nulls as the smallest."""
+    """(doc, text): the key as a long, nulls as the smallest; and `row`, the row's number, if `docs` is numbered."""
     return docs.select(
-        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL_ID)).alias("doc"), F.col(f"`{text}`").alias("text")
+        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL_ID)).alias("doc"),
+        *([F.col(ROW).alias("row")] if ROW in docs.columns else []),
+        F.col(f"`{text}`").alias("text"),
     )
 
 
@@ -134,13 +144,13 @@ def _list(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
 
 
 def _pieces(held: DataFrame, frame: Frame) -> DataFrame:
-    """(anchor, doc, a, query, heavy, body): texts of the chunks to be compared."""
+    """(anchor, doc, row, a, query, heavy, body): texts of the chunks to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, edges = _list(batch.column(2))
+            row, edges = _list(batch.column("edges"))
             a, b = (np.asarray(edges.field(x)).astype(np.int64) for x in ("a", "b"))
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column("text")):
                 low, high = np.searchsorted(row, [block.low, block.high])
                 if low == high:
                     continue
@@ -158,26 +168,27 @@ def _pieces(held: DataFrame, frame: Frame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.field("anchor"),
-                        batch.column(0).take(pa.array(row[low:high])),
+                        batch.column("doc").take(pa.array(row[low:high])),
+                        batch.column("row").take(pa.array(row[low:high])),
                         part.field("a"),
                         part.field("query"),
                         part.field("heavy"),
                         pa.array(bodies, pa.binary()),
                     ],
-                    names=["anchor", "doc", "a", "query", "heavy", "body"],
+                    names=["anchor", "doc", "row", "a", "query", "heavy", "body"],
                 )
 
-    return held.filter(F.col("edges").isNotNull()).select("doc", "text", "edges").mapInArrow(
-        run, "anchor long, doc long, a int, query boolean, heavy boolean, body binary"
+    return held.filter(F.col("edges").isNotNull()).select("doc", "row", "text", "edges").mapInArrow(
+        run, "anchor long, doc long, row long, a int, query boolean, heavy boolean, body binary"
     )
 
 
 def _counted(pieces: DataFrame, frame: Frame) -> DataFrame:
-    """(doc, a, b): windows of heavy anchors that stand elsewhere (or earlier), by counting fingerprints."""
+    """(row, a, b): windows of heavy anchors that stand elsewhere (or earlier), by counting fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("anchor", "doc", "a", "query")}
+            at = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("anchor", "doc", "row", "a", "query")}
             for block in blocks(batch.column(batch.schema.get_field_index("body")), 1 << 18):
                 one, _, offsets = _units(frame, block)
                 count = np.diff(offsets) - frame.size + 1
@@ -190,44 +201,45 @@ def _counted(pieces: DataFrame, frame: Frame) -> DataFrame:
                         pa.array(at["anchor"][row]),
                         pa.array(signed(span(one, start, start + frame.size))),
                         pa.array(at["doc"][row]),
+                        pa.array(at["row"][row]),
                         pa.array((at["a"][row] + nth).astype(np.int32)),
                         pa.array(at["query"][row].astype(bool)),
                     ],
-                    names=["anchor", "window", "doc", "a", "query"],
+                    names=["anchor", "window", "doc", "row", "a", "query"],
                 )
 
     # Pieces of one document or file are spread over all tasks before they are cut into windows.
-    spread = pieces.filter("heavy").repartition("anchor", "doc", "a")
-    rows = spread.mapInArrow(run, "anchor long, window long, doc long, a int, query boolean")
+    spread = pieces.filter("heavy").repartition("anchor", "row", "a")
+    rows = spread.mapInArrow(run, "anchor long, window long, doc long, row long, a int, query boolean")
     seen = (
         rows.groupBy("anchor", "window")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc", "a")).alias("first"))
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc", "row", "a")).alias("first"))
         .filter("n > 1")
     )
     met = rows.filter("query").join(seen, ["anchor", "window"])
     if frame.keep_first:
-        met = met.filter(F.struct("doc", "a") != F.col("first"))
-    return met.select("doc", "a", F.col("a").alias("b"))
+        met = met.filter(F.struct("doc", "row", "a") != F.col("first"))
+    return met.select("row", "a", F.col("a").alias("b"))
 
 
 Index = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def spans(docs: DataFrame, frame: Frame, index: Index, sort: tuple[str, ...] = ()) -> DataFrame:
-    """(doc, text, spans) of the documents with marked units; `docs` is (doc, text) as `keyed` gives it.
+    """(row, text, spans) of the documents with marked units; `docs` is (doc, row, text) as `keyed` gives it.
 
     `spans` are disjoint, ascending [start, end) in units. `index` reads the pieces of one hash partition of anchors,
-    sorted by `sort`, and returns (doc, a, b): ranges of windows to be marked.
+    sorted by `sort`, and returns (row, a, b): ranges of windows to be marked.
     """
     repeated = _chunks(docs, frame, False).groupBy("anchor").count().filter("count > 1").select("anchor")
     chunks = stored(_chunks(docs, frame, True).join(repeated, "anchor", "left_semi"), "chunks")
     contents = chunks.groupBy("anchor", "digest").agg(
-        F.min(F.struct("doc", "a")).alias("first"), F.count("*").alias("n")
+        F.min(F.struct("doc", "row", "a")).alias("first"), F.count("*").alias("n")
     )
     kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("n").alias("most"))
     kinds = kinds.filter("kinds > 1 OR most > 1")
     judged = chunks.join(contents, ["anchor", "digest"]).join(kinds, "anchor")
-    is_first = F.struct("doc", "a") == F.col("first")
+    is_first = F.struct("doc", "row", "a") == F.col("first")
     edge = is_first & (F.col("kinds") > 1)
     if frame.keep_first:
         judged = judged.withColumns({"known": ~is_first, "edge": edge, "query": F.lit(True)})
@@ -235,7 +247,7 @@ def spans(docs: DataFrame, frame: Frame, index: Index, sort: tuple[str, ...] = (
         judged = judged.withColumns({"known": F.col("n") > 1, "edge": edge, "query": F.col("n") == 1})
     lists = (
         judged.filter("known OR edge")
-        .groupBy("doc")
+        .groupBy("row")
         .agg(
             F.collect_list(F.when(F.col("known"), F.struct("a", "b"))).alias("known"),
             F.collect_list(
@@ -243,14 +255,14 @@ def spans(docs: DataFrame, frame: Frame, index: Index, sort: tuple[str, ...] = (
             ).alias("edges"),
         )
     )
-    held = stored(docs.join(lists, "doc"), "held")
+    held = stored(docs.join(lists, "row"), "held")
     pieces = stored(_pieces(held, frame), "pieces")
     light = pieces.filter("NOT heavy").repartition("anchor")
     if sort:
         light = light.sortWithinPartitions(*sort)
-    marked = light.mapInArrow(index, "doc long, a int, b int").unionByName(_counted(pieces, frame))
+    marked = light.mapInArrow(index, "row long, a int, b int").unionByName(_counted(pieces, frame))
     # A document has at most one row for each of its windows here.
-    more = marked.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("more"))
+    more = marked.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("more"))
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
@@ -267,7 +279,7 @@ def spans(docs: DataFrame, frame: Frame, index: Index, sort: tuple[str, ...] = (
 
         return work
 
-    joined = held.select("doc", "text", "known").join(more, "doc", "left")
+    joined = held.select("row", "text", "known").join(more, "row", "left")
     kind = "array<struct<start:int,end:int>>"
     return append_columns(joined, {"spans": kind}, make, ("known", "more")).filter(F.size("spans") > 0)
 

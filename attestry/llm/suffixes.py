@@ -80,7 +80,7 @@ class _Job:
 
     def __init__(self, size: int) -> None:
         self.size, self.family = size, Family(size)
-        self.docs: list[np.ndarray] = []
+        self.rows: list[np.ndarray] = []
         self.places: list[np.ndarray] = []
         self.queries: list[np.ndarray] = []
 
@@ -95,23 +95,23 @@ class _Job:
         nth = np.arange(len(row)) - np.r_[0, np.cumsum(count)][row]
         self.family.add(block.data[block.offsets[low] : block.offsets[high]], offsets[:-1][row] + nth)
         row += block.low + low
-        self.docs.append(at["doc"][row])
+        self.rows.append(at["row"][row])
         self.places.append((at["a"][row] + nth).astype(np.int32))
         self.queries.append(at["query"][row].astype(bool))
 
     def found(self) -> pa.RecordBatch:
         """Marked windows as ranges."""
-        doc, place = np.concatenate(self.docs), np.concatenate(self.places)
+        row, place = np.concatenate(self.rows), np.concatenate(self.places)
         found = self.family.marked & np.concatenate(self.queries)
-        doc, place = doc[found], place[found]
-        order = np.lexsort((place, doc))
-        doc, place = doc[order], place[order]
-        new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + 1)
+        row, place = row[found], place[found]
+        order = np.lexsort((place, row))
+        row, place = row[order], place[order]
+        new = np.ones(len(row), dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | (place[1:] > place[:-1] + 1)
         first = np.flatnonzero(new)
-        last = np.r_[first[1:], len(doc)] - 1 if len(doc) else first
+        last = np.r_[first[1:], len(row)] - 1 if len(row) else first
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc[first]), pa.array(place[first]), pa.array(place[last])], names=["doc", "a", "b"]
+            [pa.array(row[first]), pa.array(place[first]), pa.array(place[last])], names=["row", "a", "b"]
         )
 
 
@@ -124,7 +124,7 @@ def index(size: int, batch_bytes: int = 1 << 18, family_entries: int = 1 << 19)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         job, last = _Job(size), None
         for batch in batches:
-            at = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in ("anchor", "doc", "a", "query")}
+            at = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in ("anchor", "row", "a", "query")}
             for block in blocks(batch.column(batch.schema.get_field_index("body")), batch_bytes):
                 anchor = at["anchor"][block.low : block.high]
                 low = 0
@@ -145,14 +145,14 @@ def index(size: int, batch_bytes: int = 1 << 18, family_entries: int = 1 << 19)
     return run
 
 
-def duplicate_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """(doc, text, spans): byte ranges covered by a `size`-byte string that also starts anywhere else.
+def duplicate_spans(rows: DataFrame, size: int = SIZE) -> DataFrame:
+    """(row, text, spans): byte ranges covered by a `size`-byte string that also starts anywhere else.
 
-    `doc` is the key as a long, nulls as the smallest long. Null and short texts have no window. Every row is a document,
-    so repeated rows mark each other; rows of equal key get the spans of all of them.
+    `rows` is (doc, row, text). Null and short texts have no window. Every row is a document, so repeated rows mark each
+    other.
     """
     frame = repeats.Frame(by_words=False, size=size, anchor=max(1, size * ANCHOR // SIZE), keep_first=False)
-    return repeats.spans(repeats.keyed(docs, key, text), frame, index(size), ("anchor",))
+    return repeats.spans(rows, frame, index(size), ("anchor",))
 
 
 def _cut(body: bytes, spans: list[dict], whole_characters: bool) -> bytes:
@@ -172,9 +172,10 @@ def _cut(body: bytes, spans: list[dict], whole_characters: bool) -> bytes:
 
 def summary(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256), a row for each row of `docs`."""
+    held = repeats.numbered(docs.select(key, text))
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    base = docs.select(
-        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL)).alias("doc"),
+    base = held.select(
+        F.col(repeats.ROW).alias("row"),
         F.col(f"`{key}`").alias("__key"),
         F.octet_length(body).cast("long").alias("n_bytes"),
         F.sha2(body, 256).alias("whole"),
@@ -182,26 +183,24 @@ def summary(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
-            n, count, digest, whole = [], [], [], []
+            n, count, digest = [], [], []
             for body, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 raw = body.encode()
                 kept = _cut(raw, spans, False)
                 n.append(len(raw) - len(kept))
                 count.append(len(spans))
                 digest.append(hashlib.sha256(kept).hexdigest())
-                whole.append(hashlib.sha256(raw).hexdigest())
             return {
                 "n_removed": pa.array(n, pa.int64()),
                 "n_spans": pa.array(count, pa.int64()),
                 "kept_sha256": pa.array(digest),
-                "whole": pa.array(whole),
             }
 
         return work
 
-    fields = {"n_removed": "long", "n_spans": "long", "kept_sha256": "string", "whole": "string"}
-    found = append_columns(duplicate_spans(docs, key, text, size), fields, make, ("text", "spans")).distinct()
-    return base.join(found, ["doc", "whole"], "left").select(
+    fields = {"n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
+    found = append_columns(duplicate_spans(repeats.keyed(held, key, text), size), fields, make, ("text", "spans"))
+    return base.join(found, "row", "left").select(
         F.col("__key").alias(key),
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
@@ -210,9 +209,6 @@ def summary(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     )
 
 
-NULL = repeats.NULL_ID
-
-
 def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
     """`docs` with the marked bytes taken out of the texts (a cut character stays whole). Rows and columns stay."""
 
@@ -223,10 +219,9 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
         return work
 
-    found = append_columns(duplicate_spans(docs, key, text, size), {"kept": "string"}, make, ("spans",))
-    found = found.select(F.col("doc").alias("__doc"), F.xxhash64("text").alias("__was"), F.col("kept").alias("__kept"))
-    rows = docs.withColumns(
-        {"__doc": F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL)), "__was": F.xxhash64(f"`{text}`")}
-    ).join(found.dropDuplicates(["__doc", "__was"]), ["__doc", "__was"], "left")
+    held = repeats.numbered(docs)
+    found = duplicate_spans(repeats.keyed(held, key, text), size)
+    found = append_columns(found, {"kept": "string"}, make, ("text", "spans"))
+    rows = held.join(found.select(F.col("row").alias(repeats.ROW), F.col("kept").alias("__kept")), repeats.ROW, "left")
     new = F.coalesce("__kept", F.col(f"`{text}`"))
     return rows.select(*(new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))

@@ -185,6 +185,30 @@ def test_substrings(spark, odd, empty, documents):
     assert sorted((tuple(r) for r in automata.summary(once).collect()), key=repr) == brute_words(pairs(once))
 
 
+def test_rows_of_one_key_are_apart(spark):
+    rng = random.Random(9)
+    draw = lambda k: " ".join(f"u{rng.randrange(5000)}" for _ in range(k))
+    passage, second = draw(150), draw(150)
+    texts = [(None, f"{draw(500)} {passage} {draw(5)}"), (None, f"{passage} {draw(30)}"), (None, draw(300)),
+             (7, f"{draw(40)} {second}"), (7, f"{second} {draw(200)}"), (7, f"{draw(40)} {second}"),
+             (8, passage), (8, passage), (8, "short"), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    assert sorted((tuple(r) for r in suffixes.summary(docs).collect()), key=repr) == brute_bytes(texts)
+    # As documents with keys of their own, in the order of the rows, nulls first.
+    apart = list(enumerate(t for _, t in texts))
+    assert sorted(tuple(r)[1:] for r in automata.summary(docs).collect()) == sorted(r[1:] for r in brute_words(apart))
+    left = Counter(r["text"] for r in suffixes.remove(docs).collect())
+    assert left[texts[2][1]] == 1 and left["short"] == 1 and left[""] == 2
+
+
+def test_one_of_each_by_rows(spark):
+    near = " ".join(f"n{i}" for i in range(100))
+    rows = [(None, near), (None, near + " end"), (None, "other words"), (1, near), (1, "its own text of one"), (2, "its own text of one"), (3, None)]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    want = [(None, near), (None, "other words"), (1, "its own text of one"), (3, None)]
+    assert sorted(map(tuple, kept), key=repr) == sorted(want, key=repr)
+
+
 def test_families_of_any_size_agree(spark):
     docs = shared(3, 120)
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
