@@ -46,6 +46,20 @@ def test_search_is_exact(spark, documents, monkeypatch, size):
     assert all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
 
 
+def test_search_ties_of_several_shards(spark, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(search, "SHARD_BYTES", 60_000)
+    copy = " ".join(f"s{rng.randrange(60)}" for _ in range(60))
+    # The words of the copy are frequent in some shards and rare in others.
+    filler = lambda i: " ".join(f"s{rng.randrange(rng.choice([60, 9000]) if rng.random() < (i % 997) / 997 else 9000)}" for _ in range(40))
+    rows = [(i, copy if i % 60 == 0 else filler(i)) for i in range(1, 2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    query = spark.createDataFrame([(1, copy)], "doc_id long, text string")
+    got = search.search(docs, query).orderBy("rank").collect()
+    assert len({r["score"] for r in got}) == 1
+    assert [r["doc_id"] for r in got] == list(range(60, 660, 60))
+
+
 def test_search_of_odd_rows(odd, empty):
     queries = odd.filter("doc_id IN (1, 4, 5, 7, 12)")
     rows = search.search(odd, queries).collect()
