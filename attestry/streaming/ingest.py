@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from attestry.operators.latest import newest_per_key
 from attestry.session import work_dir
 from attestry.sources.readers import CORRUPT, LOG_LINES, split_responses
 
 LOG_KEYS = ["queryType", "owner", "repo"]
 
+#: State is kept on the executors' disks and saved as change logs, so that a batch costs what it changes.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, not on the heap."""
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
 
 def stream_responses(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """New log files as a stream of response records, broken lines left out."""
@@ -33,11 +58,13 @@ def with_event_time(log: DataFrame) -> DataFrame:
     )
 
 
-def drop_repeats(
-    stream: DataFrame, keys: list[str], time: str = "ts", delay: str = "1 day"
-) -> DataFrame:
-    """Each key once per ``delay``; state older than the watermark is let go."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def drop_repeats(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key once, the row that came first, however late a repeat or a new key arrives.
+
+    The state holds one entry for each key ever seen and no row; nothing is dropped for its time, as a watermark would.
+    Start the stream with `run_to_table`, which keeps that state on disk.
+    """
+    return stream.dropDuplicates(keys)
 
 
 def run_to_table(
@@ -53,49 +80,60 @@ def run_to_table(
     )
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.start(path).awaitTermination()
+    with state_on_disk(spark):
+        writer.start(path).awaitTermination()
 
 
 class LatestSnapshot:
-    """The newest row per key of a stream.
+    """The newest row per key of a stream, kept as keyed state.
 
-    Each micro-batch is cut to its newest row per key and stored in a folder named
-    by its number, so its cost follows the batch, not the table, and a batch
-    repeated after a failure replaces its own folder. ``read`` picks the newest
-    row over all folders; ``compact`` stores that as the new base. ``order`` must
-    make the newest row unique.
+    A micro-batch aggregates its rows to the newest per key and merges those into the state of their keys, so its cost
+    follows its own rows; neither earlier batches nor the snapshot are read. The state is the snapshot: ``read`` takes it
+    from the checkpoint. ``order`` names columns, the newest row having the largest values (NULL is smallest); they
+    should make it unique.
     """
 
-    def __init__(self, path: str, keys: list[str], order: list[Column]):
-        self.path, self.keys, self.order = path.rstrip("/"), keys, order
+    def __init__(self, checkpoint: str, keys: list[str], order: list[str]):
+        self.checkpoint, self.keys, self.order = checkpoint.rstrip("/"), keys, order
 
-    def store(self, arrived: DataFrame, batch: int) -> None:
-        rows = newest_per_key(arrived, self.keys, self.order)
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(
-            f"{self.path}/batch={batch}"
-        )
+    def newest(self, rows: DataFrame) -> DataFrame:
+        """The newest row of each key as one struct."""
+        rest = [F.col(f"`{c}`") for c in rows.columns if c not in self.keys]
+        newest = F.max_by(F.struct(*rest), F.struct(*[F.col(f"`{c}`") for c in self.order]))
+        return rows.groupBy(*[F.col(f"`{k}`") for k in self.keys]).agg(newest.alias("newest"))
+
+    def run(self, stream: DataFrame, changed=None) -> DataFrame:
+        """Process all that has arrived and return the snapshot.
 
-    def run(self, stream: DataFrame, checkpoint: str) -> DataFrame:
-        """Process all that has arrived and return the snapshot."""
+        ``changed(rows, batch)`` gets the newest rows of the keys of each batch, if given.
+        """
         spark = stream.sparkSession
-        nothing = spark.createDataFrame([], stream.schema)
-        nothing.write.mode("ignore").parquet(f"{self.path}/batch=-1")
-        query = (
-            stream.writeStream.foreachBatch(self.store)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
+        writer = self.newest(stream).writeStream.outputMode("update").trigger(availableNow=True)
+        writer = writer.option("checkpointLocation", self.checkpoint)
+        if changed is None:
+            writer = writer.format("noop")
+        else:
+            flat = [*self.keys, "newest.*"]
+            writer = writer.foreachBatch(lambda rows, batch: changed(rows.select(*flat), batch))
+        with state_on_disk(spark):
+            query = writer.start()
+            query.awaitTermination()
+        return self.read(spark, stream)
+
+    def read(self, spark: SparkSession, like: DataFrame) -> DataFrame:
+        """The snapshot after the last completed batch, with the columns of ``like``."""
+        with state_on_disk(spark):
+            if not _has_batches(spark, self.checkpoint):
+                return spark.createDataFrame([], like.schema)
+            state = spark.read.format("statestore").load(self.checkpoint)
+        # The aggregate's buffer: the row of the largest order, and that order.
+        return state.select("key.*", "value.valueWithExtremumOrdering.*").select(
+            *[F.col(f"`{c}`") for c in like.columns]
         )
-        query.awaitTermination()
-        return self.read(spark, stream.schema)
 
-    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
-        stored = spark.read.schema(schema).parquet(f"{self.path}/batch=*")
-        return newest_per_key(stored, self.keys, self.order)
 
-    def compact(self, spark: SparkSession, schema: StructType, path: str) -> "LatestSnapshot":
-        """Store the snapshot as the first batch of a new folder."""
-        self.read(spark, schema).write.mode("overwrite").option("compression", "zstd").parquet(
-            f"{path.rstrip('/')}/batch=-1"
-        )
-        return LatestSnapshot(path, self.keys, self.order)
+def _has_batches(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a stream has completed a batch; the checkpoint may be in any store that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(path) and any(s.getPath().getName().isdigit() for s in files.listStatus(path))

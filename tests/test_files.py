@@ -11,7 +11,7 @@ from attestry.plans.repo_summary import MATURITY_SIGNALS, with_maturity_score
 from workload.given import Given
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = ["stream_without_repeats", "stream_latest_snapshot", "stream_tools", "keyword_flags", "ranked_search"]
+NAMES = ["stream_without_repeats", "stream_log_without_repeats", "stream_latest_snapshot", "stream_tools", "keyword_flags"]
 
 
 @pytest.fixture(scope="module")

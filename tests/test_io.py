@@ -125,25 +125,52 @@ def log_dir(tmp_path):
 
 
 def test_stream_without_repeats(spark, log_dir, tmp_path, rows):
-    stream = ingest.with_event_time(ingest.stream_responses(spark, str(log_dir), 1))
-    kept = ingest.drop_repeats(stream, ["queryType", "owner", "repo", "ts"])
+    stream = lambda: ingest.drop_repeats(
+        ingest.with_event_time(ingest.stream_responses(spark, str(log_dir), 1)), ["queryType", "owner", "repo", "ts"]
+    ).select("repo", "response.repository.id")
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    ingest.run_to_table(kept.select("repo", "response.repository.id"), out, state)
+    ingest.run_to_table(stream(), out, state)
     assert rows(spark.read.parquet(out)) == [("a", "a1"), ("a", "a3"), ("b", "b1"), ("b", "b2")]
+    # A later run: a row that is years late stays, repeats of the first run don't.
+    (log_dir / "3.jsonl").write_text("\n".join([
+        response("2019-01-01T00:00:00Z", "o", "c", "c0"), response("2024-01-01T00:00:00Z", "o", "a", "again"),
+        response("2024-01-01T00:00:00Z", "o", "a", "kind", "other")]))
+    (log_dir / "4.jsonl").write_text(response("2019-01-01T00:00:00Z", "o", "c", "again"))
+    ingest.run_to_table(stream(), out, state)
+    assert rows(spark.read.parquet(out)) == [
+        ("a", "a1"), ("a", "a3"), ("a", "kind"), ("b", "b1"), ("b", "b2"), ("c", "c0")]
+    assert len([n for n in os.listdir(f"{state}/commits") if n.isdigit()]) >= 4
 
 
 def test_snapshot_equals_batch_over_several_runs(spark, log_dir, tmp_path, rows):
-    snapshot = ingest.LatestSnapshot(str(tmp_path / "snap"), ["owner", "repo"], [F.col("ts").desc()])
-    state = str(tmp_path / "state")
+    snapshot = ingest.LatestSnapshot(str(tmp_path / "snap"), ["owner", "repo"], ["ts"])
     stream = lambda: ingest.with_event_time(ingest.stream_responses(spark, str(log_dir), 1))
-    got = snapshot.run(stream(), state)
+    got = snapshot.run(stream())
     assert rows(got, "repo", "response.repository.id") == [("a", "a3"), ("b", "b2")]
     (log_dir / "3.jsonl").write_text(response("2024-02-01T00:00:00Z", "o", "c", "c1") + "\n"
-                                     + response("2024-02-01T00:00:00Z", "o", "b", "b9"))
-    got = snapshot.run(stream(), state)
+                                     + response("2024-02-01T00:00:00Z", "o", "b", "b9")
+                                     + "\n" + response("2020-02-01T00:00:00Z", "o", "a", "late"))
+    seen = []
+    got = snapshot.run(stream(), lambda frame, batch: seen.extend(rows(frame, "repo", "response.repository.id")))
+    assert got.columns == stream().columns
     assert rows(got, "repo", "response.repository.id") == [("a", "a3"), ("b", "b9"), ("c", "c1")]
-    packed = snapshot.compact(spark, got.schema, str(tmp_path / "packed")).read(spark, got.schema)
-    assert rows(packed, "repo", "response.repository.id") == rows(got, "repo", "response.repository.id")
+    assert sorted(seen) == [("a", "a3"), ("b", "b9"), ("c", "c1")]
+    assert rows(snapshot.read(spark, got), "repo") == [("a",), ("b",), ("c",)]
+
+
+def test_snapshot_batches_read_no_earlier_ones(spark, tmp_path):
+    """The rows that a batch puts through its plan follow its own size, and the state written does too."""
+    folder = tmp_path / "in"
+    snapshot = ingest.LatestSnapshot(str(tmp_path / "snap"), ["k"], ["t"])
+    stream = lambda: spark.readStream.schema("k long, t long, v string").parquet(str(folder))
+    part = lambda low, high, t: spark.range(low, high).selectExpr("id AS k", f"{t} AS t", f"'{t}' AS v")
+    part(0, 2000, 1).write.mode("append").parquet(str(folder))
+    snapshot.run(stream())
+    part(0, 5, 2).write.mode("append").parquet(str(folder))
+    changes = []
+    got = snapshot.run(stream(), lambda frame, batch: changes.append(frame.count()))
+    assert changes == [5] and got.count() == 2000 and got.filter("v = '2'").count() == 5
+    assert list(folder.iterdir()) and not [p for p in (tmp_path / "snap").rglob("*.parquet")]
 
 
 def test_stream_detection_equals_batch(spark, tmp_path, rows):
@@ -181,6 +208,6 @@ def test_text_files_and_response_table(spark, log_dir, tmp_path, rows):
 
 def test_snapshot_of_nothing(spark, tmp_path):
     (tmp_path / "log").mkdir()
-    snapshot = ingest.LatestSnapshot(str(tmp_path / "snap"), ["repo"], [F.col("ts").desc()])
+    snapshot = ingest.LatestSnapshot(str(tmp_path / "snap"), ["repo"], ["ts"])
     stream = ingest.with_event_time(ingest.stream_responses(spark, str(tmp_path / "log")))
-    assert snapshot.run(stream, str(tmp_path / "state")).count() == 0
+    assert snapshot.run(stream).count() == 0

@@ -774,8 +774,9 @@ def saved_sql(g):
 
 
 def _event_stream(g):
+    """The events as a stream; a pattern takes a table of one file as well as one of many."""
     schema = g.table("events").schema
-    return g.spark.readStream.schema(schema).parquet(f"{g.folder}/events.parquet")
+    return g.spark.readStream.schema(schema).parquet(f"{g.folder}/events.parque[t]")
 
 
 @query(
@@ -796,13 +797,38 @@ def stream_log_ingest(g):
 @query("stream_without_repeats", "SELECT event_id, user_id, event_type FROM events")
 def stream_without_repeats(g):
     """Every event arrives twice and is kept once."""
-    events = _event_stream(g).withColumn("ts", F.col("ts").cast("timestamp"))
+    events = _event_stream(g)
     sink = work_dir(g.spark, "distinct")
     kept = ingest.drop_repeats(events.union(events), ["event_id"])
     ingest.run_to_table(kept.select("event_id", "user_id", "event_type"), sink)
     return g.spark.read.parquet(sink)
 
 
+@query(
+    "stream_log_without_repeats",
+    "SELECT event_type AS query_type, 'org' AS owner, user_id::VARCHAR AS repo, "
+    "strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*)::BIGINT AS records FROM events GROUP BY ALL",
+)
+def stream_log_without_repeats(g):
+    """The log in several batches: its newer half, all of it in four parts, and the older half again, which is long past by
+    then. Every record stays once by query type, repository and time, none for being late."""
+    source, sink = work_dir(g.spark, "log"), work_dir(g.spark, "log-once")
+    middle = g.event_log.agg(F.percentile_approx(F.col("metadata.timestamp").cast("timestamp").cast("double"), 0.5)).scalar()
+    at = F.col("metadata.timestamp").cast("timestamp").cast("double")
+    writers.append_responses(g.event_log.filter(at > middle), source)
+    writers.append_responses(g.event_log.repartition(4), source)
+    writers.append_responses(g.event_log.filter(at <= middle), source)
+    stream = ingest.with_event_time(ingest.stream_responses(g.spark, source, 2))
+    ingest.run_to_table(ingest.drop_repeats(stream, [*ingest.LOG_KEYS, "ts"]), sink)
+    return (
+        g.spark.read.parquet(sink)
+        .groupBy(
+            F.col("queryType").alias("query_type"), "owner", "repo", F.date_format("ts", "yyyy-MM-dd").alias("day")
+        )
+        .agg(F.count("*").alias("records"))
+    )
+
+
 @query(
     "stream_latest_snapshot",
     "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER "
@@ -810,12 +836,9 @@ def stream_without_repeats(g):
 )
 def stream_latest_snapshot(g):
     snapshot = ingest.LatestSnapshot(
-        work_dir(g.spark, "snapshot"),
-        ["user_id", "event_type"],
-        [F.col("ts").desc(), F.col("event_id").desc()],
+        work_dir(g.spark, "snapshot"), ["user_id", "event_type"], ["ts", "event_id"]
     )
-    rows = snapshot.run(_event_stream(g), work_dir(g.spark, "snapshot-state"))
-    return rows.select("user_id", "event_type", "event_id", "value")
+    return snapshot.run(_event_stream(g)).select("user_id", "event_type", "event_id", "value")
 
 
 @query(
