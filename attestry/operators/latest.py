@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from attestry.session import folder_names
+
 
 def newest_per_key(
     frame: DataFrame, keys: list[str], order: list[Column], keep: int = 1
@@ -25,29 +27,49 @@ def newest_per_key(
     )
 
 
+def _response_keys(prefer: list[str] | None) -> tuple[list[Column], list[Column]]:
+    """What a response answers, and the order of those that answer the same, without ties."""
+    kind = F.col("metadata.queryType")
+    family, order = kind, []
+    if prefer:
+        family = F.when(kind.isin(prefer), F.lit(prefer[0])).otherwise(kind)
+        order = [F.array_position(F.lit(prefer), kind).asc()]
+    keys = [family.alias("_type"), F.col("metadata.owner").alias("_owner"), F.col("metadata.repo").alias("_repo")]
+    return keys, [*order, F.col("metadata.timestamp").desc_nulls_last()]
+
+
 def latest_responses(log: DataFrame, prefer: list[str] | None = None) -> DataFrame:
     """The newest response of each repository and query type.
 
     ``prefer`` lists query types that answer the same question, best first; a
     repository keeps its best one of those only.
     """
-    kind = F.col("metadata.queryType")
-    family, order = kind, []
-    if prefer:
-        family = F.when(kind.isin(prefer), F.lit(prefer[0])).otherwise(kind)
-        order = [F.array_position(F.lit(prefer), kind).asc()]
-    keyed = log.select(
-        "*",
-        family.alias("_type"),
-        F.col("metadata.owner").alias("_owner"),
-        F.col("metadata.repo").alias("_repo"),
-    )
-    order += [F.col("metadata.timestamp").desc_nulls_last(), F.xxhash64("response").asc()]
-    return newest_per_key(keyed, ["_type", "_owner", "_repo"], order).drop(
+    keys, order = _response_keys(prefer)
+    order.append(F.xxhash64("response").asc())
+    return newest_per_key(log.select("*", *keys), ["_type", "_owner", "_repo"], order).drop(
         "_type", "_owner", "_repo"
     )
 
 
+def latest_stored_responses(log: DataFrame, prefer: list[str] | None = None) -> DataFrame:
+    """``latest_responses`` of a log that is read straight from stored Parquet.
+
+    Rows are ranked as keys, times and their places in the files, which are known without reading a response; the
+    responses of the places that win are then read by a semi join. With equal times the row stored last wins.
+    """
+    keys, order = _response_keys(prefer)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    ).alias("_place")
+    ranked = newest_per_key(
+        log.select("metadata", *keys, place), ["_type", "_owner", "_repo"], [*order, F.col("_place").desc()]
+    )
+    newest = ranked.select(F.col("_place.file").alias("_file"), F.col("_place.row").alias("_row"))
+    placed = log.select("*", place)
+    won = (placed["_place.file"] == newest["_file"]) & (placed["_place.row"] == newest["_row"])
+    return placed.join(newest, won, "left_semi").drop("_place")
+
+
 def response_for(log: DataFrame, owner: str, repo: str) -> DataFrame:
     """The newest response of one repository, whatever its query type."""
     chosen = log.filter((F.col("metadata.owner") == owner) & (F.col("metadata.repo") == repo))
@@ -70,6 +92,35 @@ def upsert_documents(stored: DataFrame, arrived: DataFrame) -> DataFrame:
     return newest_per_key(both, ["repo_id", "source_url"], order).drop("_new")
 
 
+def upsert_in_place(arrived: DataFrame, path: str, parts: int = 64) -> None:
+    """``upsert_documents`` into a stored table of ``parts`` folders by key.
+
+    Only the folders that the arriving keys fall in are read, and only those are replaced, together, when the write is
+    complete; the files of all others stay as they are. The first call makes the table. A row's folder follows from its
+    key, so ``parts`` must stay the same.
+    """
+    spark = arrived.sparkSession
+    arrived = arrived.withColumn(
+        "part", F.pmod(F.xxhash64("repo_id", "source_url"), F.lit(parts)).cast("int")
+    )
+    # At most as many numbers as the table has folders.
+    touched = [row[0] for row in arrived.select("part").distinct().collect()]
+    merged = arrived
+    if any(name.startswith("part=") for name in folder_names(spark, path)):
+        known = spark.read.schema(arrived.schema).parquet(path).filter(F.col("part").isin(touched))
+        merged = upsert_documents(known, arrived)
+    else:
+        merged = upsert_documents(arrived.limit(0), arrived)
+    (
+        merged.hint("rebalance", "part")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .partitionBy("part")
+        .parquet(path)
+    )
+
+
 def newest_releases(releases: DataFrame, keep: int = 5) -> DataFrame:
     """The newest ``keep`` releases of each repository."""
     order = [F.col("createdAt").desc_nulls_last(), F.col("id").asc()]

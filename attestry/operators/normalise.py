@@ -219,6 +219,22 @@ def repo_files(responses: DataFrame) -> DataFrame:
     )
 
 
+def with_parsed_content(files: DataFrame) -> DataFrame:
+    """Repository files with what their kind holds: a YAML file its document as a VARIANT, Markdown its headings.
+
+    ``parsed_json`` is NULL for other kinds and for YAML that does not parse; ``markdown_headings`` is NULL for other kinds.
+    """
+    kind, content = F.col("type"), F.col("content")
+    return files.withColumns(
+        {
+            "parsed_json": F.try_parse_json(yaml_to_json(F.when(kind == "yml", content))),
+            "markdown_headings": F.when(
+                kind == "markdown", F.regexp_extract_all(content, F.lit(r"(?m)^#+\s.+"), F.lit(0))
+            ),
+        }
+    )
+
+
 def insight_texts(responses: DataFrame) -> DataFrame:
     """The first insight file found per repository, with its web address."""
     found = F.coalesce(
@@ -403,7 +419,7 @@ def normalise(log: DataFrame) -> dict[str, DataFrame]:
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per normalised table."""
+    """Rows per table, by a scan of each; tables that are being written are counted by ``writers.write_all``."""
     parts = [
         frame.agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count"

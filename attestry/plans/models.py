@@ -6,6 +6,7 @@ inputs are missing are left out and the rest go on.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from attestry import schemas
 from attestry.operators import classify, detect, insights
 from attestry.plans import project_summary, repo_summary, summaries
 from attestry.session import work_dir
-from attestry.sources.writers import write_parquet
+from attestry.sources.writers import run_sql_file, write_parquet
 
 Tables = dict[str, DataFrame]
 
@@ -109,6 +110,25 @@ def register_model(
     MODELS[:] = [m for m in MODELS if m.name != name] + [Model(name, tuple(inputs), build)]
 
 
+SAVED = os.path.join(os.path.dirname(os.path.abspath(__file__)), "saved")
+
+
+def saved_model(
+    name: str, inputs: tuple[str, ...], path: str | None = None, args: dict | None = None
+) -> Model:
+    """A model whose one table ``name`` a saved SQL statement makes from its inputs, with values for its parameters.
+
+    Without a path it is the statement of that name in this package.
+    """
+    path = path or os.path.join(SAVED, f"{name}.sql")
+
+    def build(tables: Tables) -> Tables:
+        some = tables[inputs[0]]
+        return {name: run_sql_file(some.sparkSession, path, {i: tables[i] for i in inputs}, args)}
+
+    return Model(name, tuple(inputs), build)
+
+
 def with_empty_inputs(spark: SparkSession, tables: Tables) -> Tables:
     """Fill absent base tables with empty typed ones, so that no model is left out."""
     return {
@@ -117,8 +137,10 @@ def with_empty_inputs(spark: SparkSession, tables: Tables) -> Tables:
     }
 
 
-def run_models(tables: Tables, save_to: str | None = None) -> tuple[Tables, list[str]]:
-    """Run every model whose inputs are there.
+def run_models(
+    tables: Tables, save_to: str | None = None, listed: list[Model] | None = None
+) -> tuple[Tables, list[str]]:
+    """Run every model, or every listed one, whose inputs are there.
 
     With ``save_to`` each result is written as Parquet and read back, so later
     models read a stored table instead of recomputing it, and a lost executor
@@ -126,7 +148,7 @@ def run_models(tables: Tables, save_to: str | None = None) -> tuple[Tables, list
     the models left out.
     """
     done, skipped = dict(tables), []
-    for model in MODELS:
+    for model in MODELS if listed is None else listed:
         if not all(name in done for name in model.inputs):
             skipped.append(model.name)
             continue

@@ -46,7 +46,7 @@ def base_tables(
     log, bad_lines = readers.split_responses(
         _stored(readers.read_responses(spark, log_path), "log")
     )
-    log = latest.latest_responses(log, prefer=[N.EXTENDED, N.LEGACY])
+    log = latest.latest_stored_responses(log, prefer=[N.EXTENDED, N.LEGACY])
     tables: Tables = {}
     bad: Tables = {"bad_log_lines": bad_lines}
     if projects_path is not None:
@@ -62,6 +62,7 @@ def base_tables(
         tables["base_cncf_project_repos"] = N.project_repos(records)
     log = _stored(log, "newest")
     tables.update(N.normalise(log))
+    tables["base_repo_files"] = N.with_parsed_content(tables["base_repo_files"])
     landed = _stored(N.land_insights(N.insight_texts(log), fetched_at), "insights")
     tables["base_si_documents"], bad["bad_insights"] = N.split_insights(landed)
     return tables, bad
@@ -83,9 +84,12 @@ def analyse(
     configure(spark)
     out = out.rstrip("/")
     base, bad = base_tables(spark, log_path, projects_path, repo_scope, maturity)
-    writers.write_all(base, f"{out}/parquet")
-    writers.write_all(bad, f"{out}/bad_rows")
+    counts = writers.write_all(base, f"{out}/parquet") | writers.write_all(bad, f"{out}/bad_rows")
+    writers.write_csv(writers.count_table(spark, counts).coalesce(1), f"{out}/csv/row-counts")
     stored = {name: spark.read.parquet(f"{out}/parquet/{name}") for name in base}
+    policies = stored["base_security_md"].select("repository_id", "path", "content")
+    files = writers.text_files(stored["base_repositories"], stored["base_workflows"], policies)
+    writers.write_text_files(files, f"{out}/files")
     tables, skipped = models.run_models(stored, f"{out}/parquet")
     if "base_si_sboms" in tables:
         sboms = writers.sbom_export(tables["base_si_sboms"])

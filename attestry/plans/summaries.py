@@ -251,6 +251,33 @@ def summary_status(
     return repos.unionByName(per_tool).unionByName(advanced)
 
 
+def _or_none(table: DataFrame, found: DataFrame, name: str, none: str) -> DataFrame:
+    """The status rows found, and one that says so where the table has no row at all."""
+    figures = [c for c in found.columns if c != "status"]
+    nothing = table.sparkSession.range(1).select(
+        F.lit(f"✓ Created {name} ({none})").alias("status"), *[F.lit(0).cast("long").alias(c) for c in figures]
+    )
+    return found.unionByName(nothing.filter(~table.select(F.lit(1)).exists()))
+
+
+def sbom_summary_status(table: DataFrame) -> DataFrame:
+    """Status of ``agg_sbom_summary``: repositories with SBOMs, or the row for an empty table."""
+    name = "agg_sbom_summary"
+    found = table.select(
+        _status(name), F.coalesce("total_repos", F.lit(0)).cast("long").alias("repos_with_sboms")
+    )
+    return _or_none(table, found, name, "no SBOMs")
+
+
+def advanced_artifacts_status(table: DataFrame) -> DataFrame:
+    """Status of ``agg_advanced_artifacts``: repositories that have some, or the row for an empty table."""
+    name = "agg_advanced_artifacts"
+    found = table.select(
+        _status(name), F.coalesce("repos_with_advanced_artifacts", F.lit(0)).cast("long").alias("repos")
+    )
+    return _or_none(table, found, name, "none detected")
+
+
 def project_status(projects: DataFrame) -> DataFrame:
     level = lambda m: V.count_if(F.col("maturity") == m)
     rate = F.round(F.avg("sbom_adoption_rate") * 100, 1)

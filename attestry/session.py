@@ -50,3 +50,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="attestry-")
     return f"{base.rstrip('/')}/attestry-{purpose}-{uuid.uuid4().hex}"
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store that Spark reads; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(folder)] if store.exists(folder) else []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from attestry import schemas
@@ -30,10 +30,22 @@ def write_parquet(frame: DataFrame, path: str, partition_by: list[str] | None =
     writer.parquet(path)
 
 
-def write_all(tables: dict[str, DataFrame], root: str) -> None:
-    """Every table of a run to ``root/<table>``."""
+def write_all(tables: dict[str, DataFrame], root: str) -> dict[str, int]:
+    """Every table of a run to ``root/<table>``; returns the rows of each.
+
+    The rows are counted as they are written, without a scan for it.
+    """
+    counts = {}
     for name, frame in tables.items():
-        write_parquet(frame, f"{root.rstrip('/')}/{name}")
+        seen = Observation(name)
+        write_parquet(frame.observe(seen, F.count(F.lit(1)).alias("rows")), f"{root.rstrip('/')}/{name}")
+        counts[name] = seen.get["rows"]
+    return counts
+
+
+def count_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Row counts by table as a DataFrame, one row for each table."""
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
 
 
 def write_run(tables: dict[str, DataFrame], root: str, run_ts: str) -> None:
@@ -138,14 +150,12 @@ def append_responses(log: DataFrame, path: str) -> None:
 def write_responses_by_repo(latest: DataFrame, path: str) -> None:
     """Responses only, one folder per repository.
 
-    Rows are spread by repository and by response, so a repository that holds
-    much of the log is written by several tasks.
+    Rows are rebalanced by repository: the run-time plan joins small repositories into one task and splits a repository
+    that holds much of the log over several, by the sizes it has measured.
     """
     (
         latest.select("metadata.owner", "metadata.repo", "response")
-        .withColumn("_part", F.pmod(F.xxhash64(F.to_json("response")), F.lit(16)))
-        .repartition("owner", "repo", "_part")
-        .drop("_part")
+        .hint("rebalance", "owner", "repo")
         .write.mode("overwrite")
         .partitionBy("owner", "repo")
         .json(path)
@@ -200,8 +210,14 @@ def text_files(repositories: DataFrame, workflows: DataFrame, documents: DataFra
 
 
 def write_text_files(files: DataFrame, path: str) -> None:
-    """Texts with their safe names, one folder per owner."""
-    files.write.mode("overwrite").option("compression", "zstd").partitionBy("owner").parquet(path)
+    """Texts with their safe names, one folder per owner; a large owner's is written by several tasks."""
+    (
+        files.hint("rebalance", "owner")
+        .write.mode("overwrite")
+        .option("compression", "zstd")
+        .partitionBy("owner")
+        .parquet(path)
+    )
 
 
 def write_response_table(log: DataFrame, path: str) -> None:
@@ -239,12 +255,21 @@ def drop_tables(spark: SparkSession, prefix: str = "agg_") -> list[str]:
     return sorted(dropped)
 
 
-def run_sql_file(spark: SparkSession, path: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """Run one saved SQL statement over the given tables."""
+def run_sql_file(
+    spark: SparkSession, path: str, tables: dict[str, DataFrame], args: dict | None = None
+) -> DataFrame:
+    """Run one saved SQL statement over the given tables; ``args`` fill its ``:name`` parameters, as values, not as text.
+
+    A path with a scheme is read from that store, any other from the driver's disk.
+    """
     for name, frame in tables.items():
         frame.createOrReplaceTempView(name)
-    with open(path, encoding="utf-8") as handle:
-        return spark.sql(handle.read().rstrip().rstrip(";"))
+    if "://" in path:
+        statement = spark.read.text(path, wholetext=True).first()[0]
+    else:
+        with open(path, encoding="utf-8") as handle:
+            statement = handle.read()
+    return spark.sql(statement.rstrip().rstrip(";"), args=args or {})
 
 
 def count_where(spark: SparkSession, pattern: str, condition: str) -> DataFrame:

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.session import work_dir
+from attestry.session import folder_names, work_dir
 from attestry.sources.readers import CORRUPT, LOG_LINES, split_responses
 
 LOG_KEYS = ["queryType", "owner", "repo"]
@@ -123,7 +123,7 @@ class LatestSnapshot:
     def read(self, spark: SparkSession, like: DataFrame) -> DataFrame:
         """The snapshot after the last completed batch, with the columns of ``like``."""
         with state_on_disk(spark):
-            if not _has_batches(spark, self.checkpoint):
+            if not any(name.isdigit() for name in folder_names(spark, f"{self.checkpoint}/commits")):
                 return spark.createDataFrame([], like.schema)
             state = spark.read.format("statestore").load(self.checkpoint)
         # The aggregate's buffer: the row of the largest order, and that order.
@@ -131,9 +131,3 @@ class LatestSnapshot:
             *[F.col(f"`{c}`") for c in like.columns]
         )
 
-
-def _has_batches(spark: SparkSession, checkpoint: str) -> bool:
-    """Whether a stream has completed a batch; the checkpoint may be in any store that Spark reads."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(path) and any(s.getPath().getName().isdigit() for s in files.listStatus(path))

@@ -15,6 +15,10 @@ from attestry.sources import readers, writers
 from attestry.streaming import ingest
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parquet_keeps_descriptions_and_compression(spark, tmp_path):
     frame = spark.createDataFrame([("R", 1)], "repository_id string, other int")
     path = str(tmp_path / "t")
@@ -78,15 +82,33 @@ def test_view_reader_and_counts(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM data").first()[0] == 4
 
 
-def test_term_index_on_disk(spark, tmp_path, rows):
+def test_term_index_in_buckets(spark, tmp_path, rows):
     texts = spark.createDataFrame([(1, "MIT license, mit"), (2, "apache"), (3, None), (4, "permit")], "id int, t string")
-    path = str(tmp_path / "index")
     postings = search.term_index(texts, "docs", "id", ["t"])
     assert rows(postings, "id", "term", "tf") == [
         ("1", "license", 1), ("1", "mit", 2), ("2", "apache", 1), ("4", "permit", 1)]
-    search.write_term_index(postings, path, buckets=8, salts=2)
-    found = search.lookup_terms(spark.read.parquet(path), "mit OR apache", buckets=8)
-    assert rows(found, "id", "hits") == [("1", 2), ("2", 1)]
+    search.save_term_index(postings, "terms_of_test", str(tmp_path / "index"), buckets=8, salts=2)
+    index = spark.table("terms_of_test")
+    try:
+        found = search.term_hits(index, "mit OR apache")
+        assert rows(found, "id", "hits") == [("1", 2), ("2", 1)]
+        # Shown in the plan only where the scan is forced to keep its buckets.
+        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+        told = plan_of(search.term_hits(spark.table("terms_of_test"), "mit OR apache"))
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+        assert "SelectedBucketsCount: 1 out of 8" in told or "SelectedBucketsCount: 2 out of 8" in told
+        wanted = spark.createDataFrame([("a", "mit"), ("a", "mit"), ("b", "apache"), ("b", "none")], "query string, term string")
+        joined = search.match_terms(index, wanted.hint("merge"))
+        assert rows(joined, "query", "id", "tf") == [("a", "1", 2), ("b", "2", 1)]
+        # Only the queries are shuffled by term: neither the join nor the totals move the index.
+        for known in (index, search.term_totals(index)):
+            told = plan_of(search.match_terms(known, wanted.hint("merge")))
+            assert "SortMergeJoin" in told and "Bucketed: true" in told
+            assert told.count("Exchange hashpartitioning(term#") == 1
+        assert rows(search.term_totals(index), "term", "texts", "hits") == [
+            ("apache", 1, 1), ("license", 1, 1), ("mit", 1, 2), ("permit", 1, 1)]
+    finally:
+        spark.sql("DROP TABLE terms_of_test")
 
 
 def test_ranked_search_order_and_misses(spark):

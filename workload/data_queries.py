@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attestry import schemas
 from attestry.functions import values as V
@@ -157,6 +160,36 @@ def upserted_documents(g):
     return latest.upsert_documents(g.documents, newer).drop("document")
 
 
+@query(
+    "upserted_in_place",
+    "SELECT repo_id, source_url, CASE WHEN o_orderstatus = 'F' THEN '9.9.9' ELSE schema_version END "
+    "AS schema_version, CASE WHEN o_orderstatus = 'F' THEN fetched_at + INTERVAL 1 DAY ELSE fetched_at END "
+    "AS fetched_at FROM base_si_documents JOIN orders "
+    "ON split_part(source_url, '/', 5) = 'repo' || o_orderkey UNION ALL "
+    "SELECT 'S' || s_suppkey, 'https://github.com/s/' || s_suppkey, '1.0.0', TIMESTAMP '2024-01-01' FROM supplier",
+)
+def upserted_in_place(g):
+    """The documents stored, then newer ones, older ones and new ones merged into that table."""
+    path = work_dir(g.spark, "documents")
+    latest.upsert_in_place(g.documents, path, 16)
+    newer = g.documents.filter("schema_version = '1.0.0'").withColumns(
+        {"schema_version": F.lit("9.9.9"), "fetched_at": F.col("fetched_at") + F.expr("INTERVAL 1 DAY")}
+    )
+    older = g.documents.filter("schema_version <> '1.0.0'").withColumns(
+        {"schema_version": F.lit("0.0.0"), "fetched_at": F.col("fetched_at") - F.expr("INTERVAL 1 DAY")}
+    )
+    new = g.table("supplier").select(
+        F.concat(F.lit("S"), "s_suppkey").alias("repo_id"),
+        F.concat(F.lit("https://github.com/s/"), "s_suppkey").alias("source_url"),
+        F.lit("1.0.0").alias("schema_version"),
+        F.lit("{}").alias("document"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("fetched_at"),
+    )
+    latest.upsert_in_place(newer.unionByName(older), path, 16)
+    latest.upsert_in_place(new, path, 16)
+    return g.spark.read.parquet(path).drop("document", "part")
+
+
 # Nested responses ----------------------------------------------------------------
 
 
@@ -249,7 +282,13 @@ _BAD_YAML = "'a: [1, 2' || chr(10) || 'b: }'"
 
 @query(
     "normal_repo_files",
-    "SELECT repository_id || ':' || path AS id, repository_id, path, type, content FROM ("
+    "SELECT repository_id || ':' || path AS id, repository_id, path, type, content, "
+    "CASE WHEN path LIKE '.github/workflows/%' THEN regexp_extract(content, '^name: (.*)', 1) "
+    "WHEN path ILIKE 'security-insights.yml' THEN regexp_extract(content, '  name: (.*)', 1) END AS named, "
+    "CASE WHEN path ILIKE 'security-insights.yml' THEN '2.0.0' WHEN path LIKE '%dependabot.yml' THEN '2' END AS version, "
+    "CASE WHEN path LIKE '.github/workflows/%' THEN regexp_extract(content, 'uses: (.*?)( #.*)?(\n|$)', 1) END AS first_step, "
+    "type = 'yml' AND path <> '.github/security-insights.yml' AS parses, "
+    "CASE WHEN type = 'markdown' THEN [content] END AS markdown_headings FROM ("
     "SELECT repo_id AS repository_id, 'SECURITY.md' AS path, 'markdown' AS type, '# Policy of ' || c_name AS content "
     "FROM answered WHERE c_mktsegment = 'BUILDING' UNION ALL "
     f"SELECT repo_id, 'SECURITY-INSIGHTS.yml', 'yml', {_YAML} FROM answered WHERE c_mktsegment = 'MACHINERY' UNION ALL "
@@ -263,7 +302,17 @@ _BAD_YAML = "'a: [1, 2' || chr(10) || 'b: }'"
     "FROM event_workflows f JOIN answered ON repository_id = repo_id WHERE extended)",
 )
 def normal_repo_files(g):
-    return _tables(g)["base_repo_files"].unionByName(_workflow_tables(g)["base_repo_files"])
+    """Files with fields of their parsed documents and their headings."""
+    files = _tables(g)["base_repo_files"].unionByName(_workflow_tables(g)["base_repo_files"])
+    of = lambda *paths: F.coalesce(*[F.try_variant_get("parsed_json", p, "string") for p in paths])
+    return N.with_parsed_content(files).select(
+        "id", "repository_id", "path", "type", "content",
+        of("$.project.name", "$.name").alias("named"),
+        of("$.header['schema-version']", "$.version").alias("version"),
+        of("$.jobs.main.steps[0].uses").alias("first_step"),
+        F.col("parsed_json").isNotNull().alias("parses"),
+        "markdown_headings",
+    )
 
 
 @query(
@@ -294,20 +343,36 @@ def bad_insights(g):
 @query(
     "normal_row_counts",
     "SELECT 'base_repositories' AS table_name, count(*) AS row_count FROM answered UNION ALL "
+    "SELECT 'base_branch_protection_rules', (count(*) FILTER (WHERE c_acctbal > 0) + "
+    "2 * count(*) FILTER (WHERE c_mktsegment <> 'HOUSEHOLD')) FROM answered WHERE extended UNION ALL "
     "SELECT 'base_releases', count(*) FROM base_releases JOIN answered ON repository_id = repo_id UNION ALL "
+    "SELECT 'base_release_assets', count(*) FROM base_release_assets a JOIN base_releases l ON a.release_id = l.id "
+    "JOIN answered ON l.repository_id = repo_id UNION ALL "
     "SELECT 'base_security_md', count(*) FROM answered WHERE c_mktsegment = 'BUILDING' UNION ALL "
-    "SELECT 'base_workflows', count(*) FROM event_workflows JOIN answered ON repository_id = repo_id WHERE extended",
+    "SELECT 'base_workflows', count(*) FROM event_workflows JOIN answered ON repository_id = repo_id WHERE extended UNION ALL "
+    "SELECT 'base_repo_files', ((SELECT count(*) FROM event_workflows JOIN answered ON repository_id = repo_id "
+    "WHERE extended) + count(*) FILTER (WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) * 2 "
+    "+ count(*) FILTER (WHERE c_mktsegment = 'FURNITURE') + count(*) FILTER (WHERE c_mktsegment = 'MACHINERY')) FROM answered UNION ALL "
+    "SELECT 'base_si_documents', count(*) FROM answered WHERE c_mktsegment IN ('FURNITURE', 'MACHINERY')",
 )
 def normal_row_counts(g):
-    tables = _tables(g)
-    return N.row_counts(
+    """All eight tables written; their rows are counted by the writes."""
+    tables, flows, releases = _tables(g), _workflow_tables(g), _release_tables(g)
+    good, _ = N.split_insights(N.land_insights(N.insight_texts(g.log)))
+    counts = writers.write_all(
         {
             "base_repositories": tables["base_repositories"],
-            "base_releases": _release_tables(g)["base_releases"],
+            "base_branch_protection_rules": tables["base_branch_protection_rules"],
+            "base_releases": releases["base_releases"],
+            "base_release_assets": releases["base_release_assets"],
             "base_security_md": tables["base_security_md"],
-            "base_workflows": _workflow_tables(g)["base_workflows"],
-        }
+            "base_workflows": flows["base_workflows"],
+            "base_repo_files": tables["base_repo_files"].unionByName(flows["base_repo_files"]),
+            "base_si_documents": good,
+        },
+        work_dir(g.spark, "counted"),
     )
+    return writers.count_table(g.spark, counts)
 
 
 @query(
@@ -340,6 +405,22 @@ def latest_responses(g):
     )
 
 
+@query(
+    "latest_stored_responses",
+    "SELECT event_type AS query_type, user_id::VARCHAR AS repo, event_id::VARCHAR AS response_id FROM events "
+    "QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id) = 1",
+)
+def latest_stored_responses(g):
+    """The log stored as columns; responses are read for the newest rows only."""
+    path = work_dir(g.spark, "stored-log")
+    g.event_log.write.parquet(path)
+    return latest.latest_stored_responses(g.spark.read.parquet(path)).select(
+        F.col("metadata.queryType").alias("query_type"),
+        F.col("metadata.repo").alias("repo"),
+        F.col("response.repository.id").alias("response_id"),
+    )
+
+
 @query(
     "response_log_table",
     "SELECT event_type AS query_type, user_id::VARCHAR AS repo, event_id::VARCHAR AS response_id FROM events",
@@ -354,6 +435,60 @@ def response_log_table(g):
     )
 
 
+@query(
+    "response_tables_by_type",
+    "SELECT event_type AS query_type, count(*) AS responses, count(DISTINCT user_id) AS repos, "
+    "max(event_id)::BIGINT AS last_id FROM events GROUP BY event_type",
+)
+def response_tables_by_type(g):
+    """The log as one table folder per query type; each type is read from its own folder."""
+    path = work_dir(g.spark, "by-type")
+    writers.write_response_table(g.event_log, path)
+    table = g.spark.read.parquet(path)
+    return table.groupBy("query_type").agg(
+        F.count("*").alias("responses"),
+        F.count_distinct("repo").alias("repos"),
+        F.max(F.col("response.repository.id").cast("long")).alias("last_id"),
+    )
+
+
+@query(
+    "described_columns",
+    "SELECT column_name, column_comment, row_count FROM (VALUES "
+    + ", ".join(f"('{c}', '{schemas.COLUMN_COMMENTS[c]}')" for c in ("repository_id", "tagName", "createdAt") if c in schemas.COLUMN_COMMENTS)
+    + ") v(column_name, column_comment), (SELECT count(*) AS row_count FROM base_releases)",
+)
+def described_columns(g):
+    """Column descriptions as another reader finds them in the stored files, next to the rows that they describe."""
+    path = work_dir(g.spark, "described")
+    writers.write_parquet(g.releases, path)
+    back = g.spark.read.parquet(path)
+    told = [(f.name, f.metadata["comment"]) for f in back.schema.fields if "comment" in f.metadata]
+    names = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(c).alias("column_comment")) for n, c in told])
+    )
+    return back.agg(F.count("*").alias("row_count")).select(names.alias("c"), "row_count").select(
+        "c.column_name", "c.column_comment", "row_count"
+    )
+
+
+@query(
+    "repo_summary_csv",
+    "SELECT owner, count(*) AS repos, sum(total_assets)::BIGINT AS assets, "
+    "count(*) FILTER (WHERE uses_signer) AS signing FROM agg_repo_summary GROUP BY owner",
+)
+def repo_summary_csv(g):
+    """The repository summary as a CSV file with a header, read back by its column names."""
+    path = work_dir(g.spark, "summary-csv")
+    writers.write_csv(g.summary, path)
+    back = g.spark.read.option("header", True).option("escape", '"').csv(path)
+    return back.groupBy("owner").agg(
+        F.count("*").alias("repos"),
+        F.sum(F.col("total_assets").cast("long")).alias("assets"),
+        F.count_if(F.col("uses_signer") == "true").alias("signing"),
+    )
+
+
 @query(
     "run_base_tables",
     "SELECT 'base_repositories' AS table_name, count(*) AS row_count FROM answered UNION ALL "
@@ -429,6 +564,61 @@ def project_bridge(g):
     return N.project_repos(g.project_list.filter("repos IS NOT NULL"))
 
 
+def _array_files(g, rows, key, purpose, size=200):
+    """Rows as files that each hold one JSON array of up to `size` keys in a row."""
+    path = work_dir(g.spark, purpose)
+    arrays = rows.groupBy(F.floor(F.col(key) / size)).agg(F.collect_list(F.struct(*[c for c in rows.columns if c != key])).alias("rows"))
+    arrays.select(F.to_json("rows")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query(
+    "json_array_rows",
+    "SELECT c_name AS name, NULL::VARCHAR AS absent, c_mktsegment AS segment, [c_nationkey, c_custkey] AS numbers FROM customer "
+    "UNION ALL SELECT s_name, NULL, NULL, NULL FROM supplier",
+)
+def json_array_rows(g):
+    """Files of JSON arrays read with one schema and stacked; fields that a record lacks are NULL."""
+    schema = T.StructType.fromDDL("name string, absent string, segment string, numbers array<long>")
+    full = g.table("customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+        F.array("c_nationkey", "c_custkey").alias("numbers"),
+    )
+    bare = g.table("supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    read = lambda rows: readers.read_json_array(g.spark, _array_files(g, rows, "key", "json-array"), schema)
+    return readers.union_by_name([read(full), read(bare).select("name")])
+
+
+@query(
+    "project_list_targets",
+    _targets_sql("true") + " UNION ALL SELECT 'unusable', r_name, NULL FROM region",
+)
+def project_list_targets(g):
+    """The project list from its files, in both shapes, and the entries that are neither."""
+    notes = g.table("region").select(F.lit(None).cast("string").alias("owner"), F.col("r_name").alias("name"))
+    entries = g.project_list.unionByName(notes, allowMissingColumns=True)
+    path = _array_files(g, entries.withColumn("key", F.monotonically_increasing_id()), "key", "project-list")
+    usable, rest = readers.split_project_list(readers.read_project_list(g.spark, path))
+    odd = rest.select(F.lit("unusable").alias("owner"), "name", F.lit(None).cast("string").alias("project_name"))
+    return _target_rows(N.explode_targets(usable, "all")).unionByName(odd)
+
+
+@query(
+    "landscape_files",
+    "SELECT replace(s_name, '#', '') AS project_name, 'cat-' || s_nationkey AS category, 'tag1,tag2' AS tag_associations, "
+    "s_name AS latest_audit_vendor FROM supplier WHERE s_acctbal > 0",
+)
+def landscape_files(g):
+    """Landscape documents from their YAML files, one file for each supplier."""
+    path = work_dir(g.spark, "landscape")
+    pad = F.concat(F.lit("# landscape\n"), F.to_json("doc"))
+    g.landscape.select(pad).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+    items = landscape.landscape_items(readers.read_landscape(g.spark, path).select("doc"))
+    return landscape.project_records(items).select(
+        "project_name", "category", "tag_associations", "latest_audit_vendor"
+    )
+
+
 _ITEMS = (
     "SELECT *, s_acctbal < 5000 AS own FROM supplier WHERE s_acctbal > 0"
 )
@@ -710,11 +900,31 @@ def text_file_names(g):
     return writers.text_files(g.repositories, g.event_workflows, docs)
 
 
+@query(
+    "text_files_by_owner",
+    "SELECT split_part(nameWithOwner, '/', 1) AS owner, count(*) AS files, sum(length(content))::BIGINT AS characters "
+    "FROM event_workflows w JOIN base_repositories r ON w.repository_id = r.id GROUP BY 1",
+)
+def text_files_by_owner(g):
+    """Workflow texts written under their safe names, one folder per owner, and read back."""
+    path = work_dir(g.spark, "files")
+    none = g.security_md.filter("false").select("repository_id", "path", "content")
+    writers.write_text_files(writers.text_files(g.repositories, g.event_workflows, none), path)
+    back = g.spark.read.schema("safe_name string, content string, owner string").parquet(path)
+    return back.groupBy("owner").agg(
+        F.count("safe_name").alias("files"), F.sum(F.length("content")).alias("characters")
+    )
+
+
 @query(
     "table_profile",
-    "SELECT 'base_release_assets' AS table_name, count(*) AS row_count, 5 AS column_count FROM lineitem UNION ALL "
-    "SELECT 'base_releases', count(*), 7 FROM orders UNION ALL "
-    "SELECT 'base_repositories', count(*), 11 FROM base_repositories",
+    "SELECT 'base_release_assets' AS table_name, count(*) AS row_count, 5 AS column_count, "
+    "'id string, __typename string, release_id string, name string, downloadUrl string' AS columns FROM lineitem UNION ALL "
+    "SELECT 'base_releases', count(*), 7, 'id string, __typename string, repository_id string, name string, "
+    "tagName string, url string, createdAt timestamp_ntz' FROM orders UNION ALL "
+    "SELECT 'base_repositories', count(*), 11, 'id string, __typename string, name string, nameWithOwner string, "
+    "url string, description string, hasVulnerabilityAlertsEnabled boolean, license_key string, license_name string, "
+    "license_spdxId string, defaultBranch_name string' FROM base_repositories",
 )
 def table_profile(g):
     tables = {
@@ -722,7 +932,7 @@ def table_profile(g):
         "base_releases": g.releases,
         "base_repositories": g.repositories,
     }
-    return writers.table_profile(tables).drop("columns")
+    return writers.table_profile(tables)
 
 
 @query(
@@ -761,13 +971,97 @@ def responses_by_repo(g):
 
 @query(
     "saved_sql",
-    "SELECT uses_signer, count(*) AS repos FROM agg_repo_summary GROUP BY uses_signer",
+    "SELECT uses_signer, count(*) AS repos, sum(total_releases)::BIGINT AS releases FROM agg_repo_summary "
+    "WHERE total_releases >= 2 GROUP BY uses_signer",
 )
 def saved_sql(g):
-    models.register_views({"agg_repo_summary": g.summary})
-    return g.spark.sql(
-        "SELECT uses_signer, count(*) AS repos FROM agg_repo_summary GROUP BY uses_signer"
+    """A statement read from its file, with a value for its parameter."""
+    path = f"{models.SAVED}/signer_adoption.sql"
+    return writers.run_sql_file(g.spark, path, {"agg_repo_summary": g.summary}, {"min_releases": 2})
+
+
+@query(
+    "saved_models",
+    "SELECT 'signer_adoption' AS model, false AS left_out, uses_signer::VARCHAR AS name, count(*) AS value "
+    "FROM agg_repo_summary WHERE total_releases >= 1 GROUP BY uses_signer UNION ALL "
+    "SELECT 'project_audits', false, project_name, security_audit_count FROM base_cncf_projects "
+    "WHERE security_audit_count >= 1 AND maturity = 'graduated' UNION ALL "
+    "SELECT 'scorecard_checks', true, NULL, NULL",
+)
+def saved_models(g):
+    """Saved statements as models with parameters; the one whose input is missing is left out and the others run."""
+    listed = [
+        models.saved_model("scorecard_checks", ("base_scorecard_checks",)),
+        models.saved_model("signer_adoption", ("agg_repo_summary",), args={"min_releases": 1}),
+        models.saved_model(
+            "project_audits", ("base_cncf_projects",), args={"min_audits": 1, "maturity": "graduated"}
+        ),
+    ]
+    given = {"agg_repo_summary": g.summary, "base_cncf_projects": g.projects}
+    tables, left_out = models.run_models(given, work_dir(g.spark, "saved"), listed)
+    row = lambda frame, model, name, value: frame.select(
+        F.lit(model).alias("model"), F.lit(False).alias("left_out"),
+        F.col(name).cast("string").alias("name"), F.col(value).cast("long").alias("value"),
+    )
+    return (
+        row(tables["signer_adoption"], "signer_adoption", "uses_signer", "repos")
+        .unionByName(row(tables["project_audits"], "project_audits", "project_name", "security_audit_count"))
+        .unionByName(
+            g.spark.createDataFrame(
+                [(name, True, None, None) for name in left_out],
+                "model string, left_out boolean, name string, value long",
+            )
+        )
+    )
+
+
+@query(
+    "empty_inputs",
+    "SELECT 'agg_artifact_patterns' AS table_name, count(*) AS row_count FROM agg_artifact_patterns UNION ALL "
+    "SELECT 'agg_repo_summary', count(*) FROM base_repositories UNION ALL SELECT 'agg_workflow_tools', 0 UNION ALL "
+    "SELECT 'agg_si_attestations', 0 UNION ALL SELECT 'agg_cncf_project_summary', 0",
+)
+def empty_inputs(g):
+    """Models over three given tables; the inputs that are not there are empty tables of their types."""
+    given = {
+        "base_repositories": g.repositories, "base_releases": g.releases, "base_release_assets": g.assets,
+    }
+    tables, _ = models.run_models(
+        models.with_empty_inputs(g.spark, given), work_dir(g.spark, "models")
     )
+    names = [
+        "agg_artifact_patterns", "agg_repo_summary", "agg_workflow_tools", "agg_si_attestations",
+        "agg_cncf_project_summary",
+    ]
+    return N.row_counts({name: tables[name] for name in names})
+
+
+@query(
+    "dropped_tables",
+    "SELECT 'agg_patterns_copy' AS table_name, false AS there, NULL::BIGINT AS row_count UNION ALL "
+    "SELECT 'agg_summary_view', false, NULL UNION ALL SELECT 'base_releases_copy', true, count(*) FROM base_releases",
+)
+def dropped_tables(g):
+    """A stored table and a view of one prefix dropped; a table of another prefix stays."""
+    mark = F.lit(None).cast("long").alias("row_count")
+    prefix = f"run{uuid.uuid4().hex}_"
+    made = {"agg_patterns_copy": g.patterns, "base_releases_copy": g.releases}
+    for name, frame in made.items():
+        frame.write.option("path", work_dir(g.spark, name)).saveAsTable(prefix + name)
+    g.projects.createOrReplaceTempView(f"{prefix}agg_summary_view")
+    gone = writers.drop_tables(g.spark, f"{prefix}agg_")
+    left = g.spark.table(f"{prefix}base_releases_copy")
+    out = left.agg(F.count("*").alias("row_count")).select(
+        F.lit("base_releases_copy").alias("table_name"), F.lit(True).alias("there"), "row_count"
+    )
+    for name in gone:
+        out = out.unionByName(
+            g.spark.range(1).select(
+                F.lit(name.removeprefix(prefix)).alias("table_name"),
+                F.lit(g.spark.catalog.tableExists(name)).alias("there"), mark,
+            )
+        )
+    return out
 
 
 # Streams ---------------------------------------------------------------------------------

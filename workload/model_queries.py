@@ -207,6 +207,49 @@ def summary_status(g):
     return summaries.summary_status(g.summary, g.tools, g.patterns)
 
 
+def _guarded(name: str, found: str, figure: str, none: str) -> str:
+    """Status rows of a table with rows and of the same table without any."""
+
+    def rows(where: str) -> str:
+        return (
+            f"SELECT '✓ Created {name}' AS status, coalesce({figure[0]}, 0) AS {figure[1]} FROM ({found}) WHERE {where} "
+            f"UNION ALL SELECT '✓ Created {name} ({none})', 0 WHERE NOT EXISTS (SELECT 1 FROM ({found}) WHERE {where})"
+        )
+
+    return f"SELECT * FROM ({rows('true')}) UNION ALL SELECT * FROM ({rows('false')})"
+
+
+@query(
+    "sbom_status_rows",
+    _guarded(
+        "agg_sbom_summary",
+        "SELECT count(*) AS total_repos FROM agg_repo_summary WHERE has_sbom_artifact",
+        ("total_repos", "repos_with_sboms"),
+        "no SBOMs",
+    ),
+)
+def sbom_status_rows(g):
+    """The summary's status, and that of a summary without rows."""
+    table = summaries.sbom_summary(g.summary)
+    return summaries.sbom_summary_status(table).unionByName(
+        summaries.sbom_summary_status(table.filter("false"))
+    )
+
+
+@query(
+    "advanced_status_rows",
+    _guarded(
+        "agg_advanced_artifacts", _ADVANCED, ("repos_with_advanced_artifacts", "repos"), "none detected"
+    ),
+)
+def advanced_status_rows(g):
+    """The table's status, and that of a table without rows."""
+    table = summaries.advanced_artifacts(g.patterns)
+    return summaries.advanced_artifacts_status(table).unionByName(
+        summaries.advanced_artifacts_status(table.filter("false"))
+    )
+
+
 @query(
     "project_status",
     "SELECT '✓ Created agg_cncf_project_summary' AS status, count(*) AS total_projects, "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from attestry.functions import rules as R
@@ -65,7 +67,8 @@ def _words_sql(column: str) -> str:
     return f"[x FOR x IN regexp_split_to_array(lower({column}), '[^a-z]+') IF x <> '']"
 
 
-def _bm25_sql(queries: dict[str, str]) -> str:
+def _scores_sql(queries: dict[str, str], key: str, text: str, source: str) -> str:
+    """The key and a BM25 score for each query."""
     terms = list(dict.fromkeys(w for q in queries.values() for w in X.word_list(q)))
     tf = ", ".join(f"len([x FOR x IN w IF x = '{t}'])::DOUBLE AS tf_{t}" for t in terms)
     df = ", ".join(f"count(*) FILTER (WHERE tf_{t} > 0)::DOUBLE AS df_{t}" for t in terms)
@@ -82,14 +85,20 @@ def _bm25_sql(queries: dict[str, str]) -> str:
         return f"CASE WHEN {hit} THEN round({' + '.join(part(t) for t in words)}, 6) END"
 
     scores = ", ".join(f"{score(q)} AS {name}" for name, q in queries.items())
+    return (
+        f"SELECT {key}, " + scores + " FROM ("
+        f"SELECT {key}, len(w)::DOUBLE AS len_, " + tf + " FROM ("
+        f"SELECT {key}, {_words_sql(text)} AS w FROM {source})) "
+        "CROSS JOIN (SELECT count(*)::DOUBLE AS n, avg(len(w)) AS avg_, " + df + " FROM ("
+        "SELECT w, " + tf + f" FROM (SELECT {_words_sql(text)} AS w FROM {source})))"
+    )
+
+
+def _bm25_sql(queries: dict[str, str]) -> str:
     some = " OR ".join(f"{name} IS NOT NULL" for name in queries)
     order = ", ".join(f"{name} DESC NULLS LAST" for name in queries)
     return (
-        "SELECT doc_id, " + ", ".join(queries) + " FROM (SELECT doc_id, " + scores + " FROM ("
-        "SELECT doc_id, len(w)::DOUBLE AS len_, " + tf + " FROM ("
-        f"SELECT doc_id, {_words_sql('text')} AS w FROM documents)) "
-        "CROSS JOIN (SELECT count(*)::DOUBLE AS n, avg(len(w)) AS avg_, " + df + " FROM ("
-        "SELECT w, " + tf + f" FROM (SELECT {_words_sql('text')} AS w FROM documents)))) "
+        "SELECT doc_id, " + ", ".join(queries) + f" FROM ({_scores_sql(queries, 'doc_id', 'text', 'documents')}) "
         f"WHERE {some} ORDER BY {order}, doc_id LIMIT 50"
     )
 
@@ -103,6 +112,23 @@ def ranked_search(g):
     return search.ranked_search(docs, "doc_id", "text", RANKED, limit=50, digits=6)
 
 
+SOUGHT = {"sbom_score": "sbom OR spdx OR cyclonedx", "tool_score": "syft OR trivy OR cdxgen OR anchore"}
+SOUGHT_WHERE = "sbom OR spdx OR cyclonedx OR syft OR trivy OR cdxgen"
+
+
+@query(
+    "workflow_search",
+    "SELECT nameWithOwner, filename, w.id AS workflow_id, sbom_score, tool_score, description FROM ("
+    + _scores_sql(SOUGHT, "id", "content", "base_workflows")
+    + ") s JOIN base_workflows w ON s.id = w.id JOIN base_repositories r ON w.repository_id = r.id "
+    f"WHERE list_has_any({_words_sql('content')}, {X.word_list(SOUGHT_WHERE)}) "
+    "ORDER BY sbom_score DESC NULLS LAST, tool_score DESC NULLS LAST, nameWithOwner, filename, w.id LIMIT 50",
+)
+def workflow_search(g):
+    """Two scores, and a filter of its own that one word of the second score is not in."""
+    return search.workflow_search(g.workflows, g.repositories, SOUGHT, SOUGHT_WHERE, digits=6)
+
+
 @query(
     "all_scores",
     _bm25_sql(RANKED).replace(" LIMIT 50", ""),
@@ -163,6 +189,16 @@ def term_statistics(g):
     )
 
 
+def _saved_index(g):
+    """The index of all documents' words, saved in buckets under a name of its own."""
+    path = work_dir(g.spark, "term-index")
+    name = os.path.basename(path).replace("-", "_")
+    search.save_term_index(
+        search.term_index(g.table("documents"), "documents", "doc_id", ["text"]), name, path, buckets=16, salts=4
+    )
+    return g.spark.table(name)
+
+
 @query(
     "term_lookup",
     "SELECT table_name, id, field, sum(tf)::BIGINT AS hits FROM ("
@@ -170,10 +206,24 @@ def term_statistics(g):
     + ") WHERE term IN ('license', 'apache', 'mit') GROUP BY table_name, id, field",
 )
 def term_lookup(g):
-    path = work_dir(g.spark, "term-index")
-    postings = search.term_index(g.table("documents"), "documents", "doc_id", ["text"])
-    search.write_term_index(postings, path, buckets=16, salts=4)
-    return search.lookup_terms(g.spark.read.parquet(path), "license OR apache OR mit", buckets=16)
+    return search.term_hits(_saved_index(g), "license OR apache OR mit")
+
+
+@query(
+    "term_join",
+    "SELECT q.id AS query, term, count(*) AS texts, sum(d.tf)::BIGINT AS hits FROM ("
+    + _postings_sql("benchmark", "benchmark", "item_id", ["text"])
+    + ") q JOIN ("
+    + _postings_sql("documents", "documents", "doc_id", ["text"])
+    + ") d USING (term) GROUP BY q.id, term",
+)
+def term_join(g):
+    """Every benchmark item as a query of its words: in how many documents each of them stands, and how often."""
+    items = search.term_index(g.table("benchmark"), "benchmark", "item_id", ["text"])
+    known = search.term_totals(_saved_index(g))
+    return search.match_terms(known, items.select(F.col("id").alias("query"), "term")).select(
+        "query", "term", "texts", "hits"
+    )
 
 
 @query(
