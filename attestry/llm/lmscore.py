@@ -43,7 +43,8 @@ HOT_WORDS = 1 << 18
 #: The largest shard of the filter.
 FILTER_BITS = 1 << 28
 PROBES = 3
-MAX_LEVEL = 24
+#: No count of a long has more levels.
+MAX_LEVEL = 63
 WEIGHT = 200.0
 #: Stands for the end of a text among the words' hashes.
 END = np.uint64(0x5851F42D4C957F2D)

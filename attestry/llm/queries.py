@@ -26,7 +26,7 @@ from attestry.llm import (
     toxicity,
 )
 from attestry.llm.blocks import append_columns, fold
-from attestry.llm.store import stored
+from attestry.llm.store import drop, stored
 from attestry.session import configure, work_dir
 
 
@@ -73,6 +73,7 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = stored(lmscore.word_counts(training), "words")
     model = lmscore.fit(training, counts)
     scored = lmscore.score(docs, model, counts)
+    drop(model.pairs)  # the texts have been through all filters
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.total).alias("train_tokens"),
         "base_score", "score",

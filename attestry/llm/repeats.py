@@ -39,7 +39,7 @@ from attestry.llm.blocks import (
     word_hashes,
     words,
 )
-from attestry.llm.store import stored
+from attestry.llm.store import drop, stored
 
 HEAVY = 64
 ROW = "__row"
@@ -178,7 +178,7 @@ def _pieces(held: DataFrame, frame: Frame) -> DataFrame:
                     names=["anchor", "doc", "row", "a", "query", "heavy", "body"],
                 )
 
-    return held.filter(F.col("edges").isNotNull()).select("doc", "row", "text", "edges").mapInArrow(
+    return held.filter(F.size("edges") > 0).select("doc", "row", "text", "edges").mapInArrow(
         run, "anchor long, doc long, row long, a int, query boolean, heavy boolean, body binary"
     )
 
@@ -255,8 +255,10 @@ def spans(docs: DataFrame, frame: Frame, index: Index, sort: tuple[str, ...] = (
             ).alias("edges"),
         )
     )
-    held = stored(docs.join(lists, "row"), "held")
-    pieces = stored(_pieces(held, frame), "pieces")
+    # Row numbers and ranges only; the texts stay in the numbered table and are joined where they are cut.
+    marks = stored(lists, "marks")
+    drop(chunks)
+    pieces = stored(_pieces(docs.join(marks.filter(F.size("edges") > 0), "row"), frame), "pieces")
     light = pieces.filter("NOT heavy").repartition("anchor")
     if sort:
         light = light.sortWithinPartitions(*sort)
@@ -279,7 +281,7 @@ def spans(docs: DataFrame, frame: Frame, index: Index, sort: tuple[str, ...] = (
 
         return work
 
-    joined = held.select("row", "text", "known").join(more, "row", "left")
+    joined = docs.select("row", "text").join(marks.select("row", "known"), "row").join(more, "row", "left")
     kind = "array<struct<start:int,end:int>>"
     return append_columns(joined, {"spans": kind}, make, ("known", "more")).filter(F.size("spans") > 0)
 
