@@ -6,36 +6,61 @@ written as Parquet and read again for the next. All but the last return the colu
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.llm import decontaminate, jaccard, language, packing, suffixes
 from attestry.llm.queries import prepared, table, tokenizer
-from attestry.llm.store import stored
+from attestry.llm.store import drop, noted, release, stored
+
+#: Tables that the newest stage over a folder has stored. They are read until that stage's result is written.
+_HELD: dict[str, list[str]] = {}
+
+
+def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that deletes what the one before has stored, as its result is written by now."""
+
+    @functools.wraps(work)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(_HELD.pop(sf_dir, []), docs)
+        with noted() as paths:
+            out = work(spark, docs, sf_dir)
+        _HELD[sf_dir] = paths
+        return out
+
+    return stage
 
 
+@_stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labels teach; texts without letters and texts that no model explains go."""
     prepared(spark)
     return language.keep_known(docs, language.fit(docs))
 
 
+@_stage
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id."""
     return jaccard.keep_one(docs)
 
 
+@_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the long passages that stand elsewhere as well. No document goes; n_chars follows its text."""
     kept = suffixes.remove(docs)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
+@_stage
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all documents' tokens in training sequences."""
     return packing.pack(docs, tokenizer())
@@ -57,5 +82,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop(before)
+    release(_HELD.pop(sf_dir, []), docs)
     return docs
