@@ -21,62 +21,51 @@ from workload.registry import query
 
 # Insight documents -------------------------------------------------------------
 
-_DOC = (
-    "d.repo_id, d.source_url, d.fetched_at, "
-    "json_extract_string(d.document, '$.header.schema-version') AS schema_version, "
-    "TRY_CAST(json_extract_string(d.document, '$.header.last-updated') AS DATE) AS last_updated, "
-    "json_extract_string(d.document, '$.repository.url') AS repository_url, "
-    "json_extract_string(d.document, '$.project.name') AS project_name"
+# The twins read a document by casts to typed structs; all places of a record become one list of (label, JSON) pairs, which
+# is unnested once. The labels and the names of the output columns are fixed values.
+_SHAPE = (
+    '{"header": {"schema-version": "VARCHAR", "last-updated": "VARCHAR"}, "project": {"name": "VARCHAR"}, '
+    '"repository": {"url": "VARCHAR", "release": {"attestations": ["JSON"]}, '
+    '"security": {"tools": [{"results": {"adhoc": "JSON", "ci": "JSON", "release": "JSON"}}]}}, '
+    '"attestations": ["JSON"], "security-artifacts": {"attestations": ["JSON"]}, "dependencies": {"sbom": ["JSON"]}}'
+)
+_LABELLED = lambda label, items: f"[{{'label': '{label}', 'part': x}} FOR x IN coalesce({items}, [])]"
+_ATTESTATION_PLACES = " || ".join(
+    [
+        _LABELLED("release", "t.repository.release.attestations"),
+        "flatten([[{'label': 'tool_adhoc', 'part': x.results.adhoc}, {'label': 'tool_ci', 'part': x.results.ci}, "
+        "{'label': 'tool_release', 'part': x.results.\"release\"}] FOR x IN coalesce(t.repository.security.tools, [])])",
+        _LABELLED("top_level", "t.attestations"),
+        _LABELLED("security_artifacts", 't."security-artifacts".attestations'),
+    ]
 )
 
 
-def _list(path: str, item: str) -> str:
-    return (
-        f"(SELECT unnest(coalesce(TRY_CAST(json_extract(d.document, '{path}') AS JSON[]), "
-        f"[]::JSON[])) AS {item})"
-    )
-
-
-def _attestation(source: str, item: str) -> str:
-    get = lambda f: f"json_extract_string({item}, '$.{f}')"
-    return (
-        f"SELECT {_DOC}, '{source}' AS attestation_source, {get('name')} AS attestation_name, "
-        f"{get('location')} AS attestation_location, {get('predicate-uri')} AS attestation_predicate_uri, "
-        f"{get('comment')} AS attestation_comment"
-    )
-
-
-def _from_list(source: str, path: str) -> str:
-    return (
-        f"{_attestation(source, 'x.item')} FROM base_si_documents d, LATERAL {_list(path, 'item')} x "
-        "WHERE x.item IS NOT NULL"
-    )
-
-
-def _from_tools(kind: str) -> str:
-    item = f"json_extract(t.tool, '$.results.{kind}')"
+def _records(places: str, shape: dict[str, str], label: str | None = None) -> str:
+    """Rows of a document's records: `shape` maps output columns to fields of the record."""
+    fields = ", ".join(f'"{field}": "VARCHAR"' for field in shape.values())
+    columns = ([f"p.label AS {label}"] if label else []) + [f'r."{field}" AS {name}' for name, field in shape.items()]
     return (
-        f"{_attestation('tool_' + kind, item)} FROM base_si_documents d, "
-        f"LATERAL {_list('$.repository.security.tools', 'tool')} t WHERE {item} IS NOT NULL"
+        'SELECT repo_id, source_url, fetched_at, t.header."schema-version" AS schema_version, '
+        'try_cast(t.header."last-updated" AS DATE) AS last_updated, t.repository.url AS repository_url, '
+        f"t.project.name AS project_name, {', '.join(columns)} FROM ("
+        f"SELECT *, json_transform(p.part, '{{{fields}}}') AS r FROM (SELECT *, unnest({places}) AS p FROM ("
+        f"SELECT repo_id, source_url, fetched_at, json_transform(document, '{_SHAPE}') AS t FROM base_si_documents)) "
+        "WHERE p.part IS NOT NULL)"
     )
 
 
-_ATTESTATIONS = " UNION ALL ".join(
-    [
-        _from_list("release", "$.repository.release.attestations"),
-        _from_tools("adhoc"),
-        _from_tools("ci"),
-        _from_tools("release"),
-        _from_list("top_level", "$.attestations"),
-        _from_list("security_artifacts", "$.security-artifacts.attestations"),
-    ]
+_ATTESTATIONS = _records(
+    _ATTESTATION_PLACES,
+    {
+        "attestation_name": "name", "attestation_location": "location",
+        "attestation_predicate_uri": "predicate-uri", "attestation_comment": "comment",
+    },
+    "attestation_source",
 )
-_SBOMS = (
-    f"SELECT {_DOC}, json_extract_string(x.item, '$.sbom-format') AS sbom_format, "
-    "json_extract_string(x.item, '$.sbom-url') AS sbom_url, "
-    "json_extract_string(x.item, '$.sbom-file') AS sbom_file, "
-    "json_extract_string(x.item, '$.comment') AS sbom_comment "
-    f"FROM base_si_documents d, LATERAL {_list('$.dependencies.sbom', 'item')} x WHERE x.item IS NOT NULL"
+_SBOMS = _records(
+    _LABELLED("top_level", "t.dependencies.sbom"),
+    {"sbom_format": "sbom-format", "sbom_url": "sbom-url", "sbom_file": "sbom-file", "sbom_comment": "comment"},
 )
 
 
