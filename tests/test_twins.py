@@ -9,6 +9,8 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = sorted(entry.ENTRIES)
+# No project of the smallest tables has that many audits; every other query has rows there.
+EMPTY = {"audited_projects"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,7 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", NAMES)
 def test_twin(spark, con, name):
     problem = compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name])
-    assert problem is None or problem == "both results are empty", problem
+    assert problem is None or (name in EMPTY and problem == "both results are empty"), problem
 
 
 def test_entry(spark):

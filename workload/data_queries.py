@@ -110,6 +110,36 @@ def insight_versions(g):
     return N.insight_version_classes(g.documents)
 
 
+@query(
+    "insight_version_kinds",
+    "SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown' WHEN o_orderpriority LIKE '1%' THEN 'v1' "
+    "WHEN o_orderpriority LIKE '2%' THEN 'v2' ELSE 'other' END AS version_class, count(*) AS document_count "
+    "FROM orders GROUP BY 1",
+)
+def insight_version_kinds(g):
+    """Versions of all classes: majors beyond the known ones, and none."""
+    major = F.substring("o_orderpriority", 1, 1)
+    version = F.when(F.col("o_orderpriority") != "5-LOW", F.concat(major, F.lit(".3.1")))
+    return N.insight_version_classes(g.table("orders").select(version.alias("schema_version")))
+
+
+@query(
+    "sboms_of_releases",
+    f"SELECT *, 'top_level' AS sbom_source FROM ({_SBOMS}) UNION ALL "
+    "SELECT repo_id, source_url, fetched_at, json_extract_string(document, '$.header.schema-version'), "
+    "try_cast(json_extract_string(document, '$.header.last-updated') AS DATE), json_extract_string(document, '$.repository.url'), "
+    "json_extract_string(document, '$.project.name'), 'SPDX', NULL, repo_id || '.spdx', NULL, 'release' "
+    "FROM base_si_documents WHERE json_exists(document, '$.repository.release')",
+)
+def sboms_of_releases(g):
+    """SBOM lists in both places a document can hold them."""
+    listed = F.concat(
+        F.lit('"release":{"dependencies":{"sbom":[{"sbom-format":"SPDX","sbom-file":"'), "repo_id", F.lit('.spdx"}]},')
+    )
+    documents = g.documents.withColumn("document", F.replace("document", F.lit('"release":{"att'), F.concat(listed, F.lit('"att'))))
+    return insights.sboms(documents, with_release_path=True)
+
+
 @query(
     "sbom_export",
     "SELECT split_part(source_url, '/', 4) AS owner, split_part(source_url, '/', 5) AS repo, source_url, "

@@ -126,6 +126,24 @@ def advanced_artifacts(g):
     return summaries.advanced_artifacts(g.patterns)
 
 
+_TAG = "'v' || (o_orderkey * 7919 % 100)"
+
+
+@query(
+    "first_sbom_tags",
+    f"SELECT repository_id, min({_TAG}) AS first_release_with_sbom, min(o_orderdate) AS first_sbom_date, "
+    f"arg_min({_TAG}, (o_orderdate, {_TAG})) AS first_sbom_tag_by_date FROM base_releases l JOIN orders ON l.id = 'L' || o_orderkey "
+    "WHERE l.id IN (SELECT release_id FROM agg_artifact_patterns WHERE is_sbom) GROUP BY repository_id",
+)
+def first_sbom_tags(g):
+    """Tags whose order as text is not that of their dates: the smallest one and the one of the first date."""
+    tag = F.concat(F.lit("v"), (F.substring("id", 2, 20).cast("long") * 7919 % 100).cast("string"))
+    stats = repo_summary.artifact_stats(g.releases.withColumn("tagName", tag), classify.classify_assets(g.assets))
+    return stats.filter("first_sbom_date IS NOT NULL").select(
+        "repository_id", "first_release_with_sbom", "first_sbom_date", "first_sbom_tag_by_date"
+    )
+
+
 @query(
     "category_stats",
     "SELECT tool_category, count(DISTINCT repository_id) AS repo_count, "
