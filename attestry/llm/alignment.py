@@ -153,8 +153,7 @@ class Aligner:
     """Aligns blocks of texts; one for each Python worker and pair of files."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a, self.b = encoder(path_a), PieceModel(path_b)
-        self.a.library.encode_special_tokens = True
+        self.a, self.b = encoder(path_a, plain=True), PieceModel(path_b)
         self.bytes = byte_level(self.a)
         self.scale = len(self.b.bytes.sizes)
         most = max(len(self.bytes.sizes), self.scale)

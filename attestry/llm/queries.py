@@ -85,8 +85,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     held_out = fold("doc_id", 5) == 0
     model = toxicity.fit(docs.join(labels.filter(~held_out), "doc_id"))
-    scored = toxicity.predict(docs, model, drop=("text",))
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    scored = toxicity.predict(docs, model, spans=True, drop=("text",))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "toxic_spans")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

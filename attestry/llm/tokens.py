@@ -4,7 +4,8 @@ The library spends most of its time on merges of words that it has met before. H
 pieces that the file's splitting pattern gives, by vector operations, and the library encodes each distinct piece once;
 ids of frequent pieces stay in a bounded cache. A text that the vector rules don't cover (letters beyond Cyrillic, an
 apostrophe that may begin a contraction) is encoded whole by the library, as are all texts if the file has another pattern
-or kind. Pieces are told apart by 64-bit fingerprints.
+or kind. So is a text that holds the string of an added token, such as `<|endoftext|>`, which the library turns into that
+token's id by default; a plain encoder takes such strings as ordinary text. Pieces are told apart by 64-bit fingerprints.
 """
 
 from __future__ import annotations
@@ -65,16 +66,17 @@ def pieces(block: Block) -> Pieces:
 
 
 class Encoder:
-    """Encodes blocks of texts; one per task."""
+    """Encodes blocks of texts; one per task. `plain`: strings of added tokens are ordinary text."""
 
-    def __init__(self, path: str, cached: int = CACHED_PIECES) -> None:
+    def __init__(self, path: str, cached: int = CACHED_PIECES, plain: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = plain
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
+        self.added = [] if plain else [x["content"].encode() for x in told.get("added_tokens", [])]
         split = told.get("pre_tokenizer") or {}
         self.by_piece = (
             split.get("type") == "ByteLevel"
@@ -123,6 +125,7 @@ class Encoder:
         if not self.by_piece:
             return _joined([np.array(x, np.uint32) for x in self._library_ids(self._texts(block, range(n)))])
         cut = pieces(block)
+        self._mark_added(block, cut.whole)
         if len(cut.starts):
             ends = np.r_[cut.starts[1:], len(block.data)]
             hashes = span(prefix(symbol_values(5)[block.data]), cut.starts, ends)
@@ -153,19 +156,28 @@ class Encoder:
             return _joined(parts)
         return ids, offsets
 
+    def _mark_added(self, block: Block, whole: np.ndarray) -> None:
+        """Mark the documents that hold an added token's string."""
+        raw = block.data.tobytes() if self.added else b""
+        for string in self.added:
+            at = raw.find(string)
+            while at >= 0:
+                whole[np.searchsorted(block.offsets, at, side="right") - 1] = True
+                at = raw.find(string, at + 1)
+
     @staticmethod
     def _texts(block: Block, rows) -> list[str]:
         return [block.text(i).decode("utf-8", "replace") for i in rows]
 
 
-_MADE: dict[str, Encoder] = {}
+_MADE: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The encoder of a file, kept with its cache for all tasks of a Python worker."""
-    if path not in _MADE:
-        _MADE[path] = Encoder(path)
-    return _MADE[path]
+    if (path, plain) not in _MADE:
+        _MADE[path, plain] = Encoder(path, plain=plain)
+    return _MADE[path, plain]
 
 
 def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -5,10 +5,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from attestry.llm import language, lmscore, toxicity
+from attestry.llm.blocks import blocks, fold
 from attestry.llm.store import stored
 
 
@@ -170,8 +173,35 @@ def test_toxic_sentences_are_found(spark, empty):
     assert {r["predicted"] for r in toxicity.predict(table, nothing).collect()} == {0}
 
 
-def test_toxicity_query(spark, query, remainder):
+def test_toxicity_query(spark, query, documents, remainder):
+    """Each score is the noisy-or of the document's sentences scored alone, and the spans are those that reach 0.5."""
     rows = query("op10_toxicity")
-    assert len(rows) == 200
+    assert sorted(r["doc_id"] for r in rows) == sorted(r[0] for r in documents.select("doc_id").collect())
     assert all(r["held_out"] == (remainder(r["doc_id"], 5) == 0) and 0 <= r["score"] <= 1 for r in rows)
     assert all(r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(documents.select("doc_id", "text").join(labels.filter(~(fold("doc_id", 5) == 0)), "doc_id"))
+    parts = []
+    for doc, text in documents.select("doc_id", "text").collect():
+        for block in blocks(pa.array([text], pa.string())):
+            found = toxicity.sentences(block)
+            cut = zip(found.starts.tolist(), found.ends.tolist(), strict=True)
+            parts += [(doc, a, b - a, block.data[a:b].tobytes().decode()) for a, b in cut]
+    alone = toxicity.predict(spark.createDataFrame(parts, "doc_id long, start int, length int, text string"), model).collect()
+    clean, spans = {}, {}
+    for p in alone:
+        clean[p.doc_id] = clean.get(p.doc_id, 1.0) * (1 - p.score)
+        spans.setdefault(p.doc_id, []).extend([(p.start, p.length)] if p.score >= 0.5 else [])
+    for r in rows:
+        assert r["score"] == pytest.approx(1 - clean.get(r["doc_id"], 1.0), abs=1e-9)
+        assert sorted((x.start, x.length) for x in r["toxic_spans"]) == sorted(spans.get(r["doc_id"], []))
+
+
+def test_toxicity_of_held_out_rows(spark):
+    folder = "/root/testdata/sf0.1"
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [r for r in entry.queries()["op10_toxicity"](spark, folder).collect() if r.held_out and r.doc_id in truth]
+    right = [r for r in rows if r.predicted == truth[r.doc_id]]
+    toxic = [r for r in rows if truth[r.doc_id] == 1]
+    assert len(rows) > 500 and len(right) >= 0.96 * len(rows)
+    assert sum(r.predicted for r in toxic) >= 0.8 * len(toxic)

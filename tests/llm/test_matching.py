@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from attestry.llm import automata, decontaminate, jaccard, search, suffixes
@@ -231,6 +232,34 @@ def test_families_of_any_size_agree(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("entries", [1, 40, 300])
+def test_closed_families_lose_no_match(entries):
+    """Families that are closed early, over batches of any size, mark what brute force marks inside each anchor."""
+    rng = random.Random(entries)
+    rows = []
+    for i in range(60):
+        anchor = rng.randrange(6)  # windows of different anchors differ
+        body = bytes(rng.choice((2 * anchor, 2 * anchor + 1)) for _ in range(rng.randint(8, 40)))
+        rows.append((anchor, i, 100 * i, rng.random() < 0.8, body))
+    rows.sort()
+    names = ["anchor", "row", "a", "query", "body"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    cut = [rows[i : i + 7] for i in range(0, len(rows), 7)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*c), kinds)], names=names) for c in cut]
+    got = set()
+    for out in suffixes.index(8, batch_bytes=50, family_entries=entries)(iter(batches)):
+        for row, a, b in zip(*(c.to_pylist() for c in out.columns)):
+            got |= {(row, x) for x in range(a, b + 1)}
+    seen = Counter((anchor, body[i : i + 8]) for anchor, _, _, _, body in rows for i in range(len(body) - 7))
+    want = {
+        (row, a + i)
+        for anchor, row, a, query, body in rows
+        for i in range(len(body) - 7)
+        if query and seen[anchor, body[i : i + 8]] > 1
+    }
+    assert got == want
+
+
 def test_automaton_statistics():
     rng = random.Random(5)
     text = [rng.choice("ab") for _ in range(300)]

@@ -20,21 +20,38 @@ from attestry.llm.tokens import Encoder
 @pytest.fixture(scope="module")
 def library():
     held = Tokenizer.from_file(tokenizer())
-    held.encode_special_tokens = True
     return lambda text: held.encode(text or "", add_special_tokens=False).ids
 
 
 ENCODER = Encoder(tokenizer(), cached=64)
+PLAIN = Encoder(tokenizer(), cached=64, plain=True)
+REFERENCE, PLAIN_REFERENCE = Tokenizer.from_file(tokenizer()), Tokenizer.from_file(tokenizer())
+PLAIN_REFERENCE.encode_special_tokens = True
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("ab'stre12 \n\t éßЖ中.,!<|>\u0085²"), max_size=40), max_size=6))
+@given(
+    st.lists(
+        st.one_of(
+            st.text(alphabet=st.sampled_from("ab'stre12 \n\t éßЖ中.,!<|>\u0085²"), max_size=40),
+            st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "a"]), max_size=5).map("".join),
+        ),
+        max_size=6,
+    )
+)
 def test_pieces_give_the_librarys_ids(texts):
-    for block in blocks(pa.array(texts, pa.string())):
-        ids, offsets = ENCODER.encode(block)
-        for i, text in enumerate(texts[block.low : block.high]):
-            want = ENCODER.library.encode(text, add_special_tokens=False).ids
-            assert ids[offsets[i] : offsets[i + 1]].tolist() == want
+    for ours, library in ((ENCODER, REFERENCE), (PLAIN, PLAIN_REFERENCE)):
+        for block in blocks(pa.array(texts, pa.string())):
+            ids, offsets = ours.encode(block)
+            for i, text in enumerate(texts[block.low : block.high]):
+                want = library.encode(text, add_special_tokens=False).ids
+                assert ids[offsets[i] : offsets[i + 1]].tolist() == want
+
+
+def test_added_tokens_are_the_librarys_by_default():
+    (block,) = blocks(pa.array(["a <|endoftext|> b"]))
+    assert ENCODER.encode(block)[0].tolist() == [64, 220, 50256, 275]
+    assert PLAIN.encode(block)[0].tolist() == [64, 1279, 91, 437, 1659, 5239, 91, 29, 275]
 
 
 def test_payload_round_trip():
