@@ -262,7 +262,8 @@ def remove(
     rows. Columns named n_lines or n_dropped are replaced.
     """
     held = stored(suspected(docs, key, text, min_points, max_bits), "lines")
-    firsts = held.groupBy("key").agg(*_holders()).filter(_repeated())
+    # Stored, so that the join's sides are shuffles of their own and a hot key can be split at run time.
+    firsts = stored(held.groupBy("key").agg(*_holders()).filter(_repeated()), "firsts")
     later = F.col("doc").isNotNull() & (F.col("null_id") | (F.col("doc") != F.col("first")))
     gone = held.join(firsts, "key").filter(later).groupBy("doc", "print").agg(F.flatten(F.collect_set("lines")).alias("gone"))
     mark, drop = _fresh("__print", docs.columns), _fresh("__gone", docs.columns)
