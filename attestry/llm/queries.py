@@ -48,9 +48,10 @@ def piece_model() -> str:
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the library's settings, and a lower limit for broadcasts by measured size: the operators here run
-    many joins in a row, whose broadcasts would add up on the driver."""
+    """The session with the library's settings, a lower limit for broadcasts by measured size, as the operators here run
+    many joins in a row whose broadcasts would add up on the driver, and smaller Arrow batches of texts."""
     configure(spark).conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "2MB")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return spark
 
 
