@@ -25,6 +25,7 @@ def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callabl
 
     @functools.wraps(work)
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepared(spark)
         release(_HELD.pop(sf_dir, []), docs)
         with noted() as paths:
             out = work(spark, docs, sf_dir)
@@ -37,7 +38,6 @@ def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callabl
 @_stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labels teach; texts without letters and texts that no model explains go."""
-    prepared(spark)
     return language.keep_known(docs, language.fit(docs))
 
 
