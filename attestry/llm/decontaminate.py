@@ -215,6 +215,11 @@ def leaks(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of `docs` whose key has no leak; rows of equal key are judged together."""
-    bad = leaks(docs, benchmark, key, text).select(F.col(key).cast("long").alias("__bad")).distinct()
-    return docs.join(bad, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+    """Rows of `docs` that hold no leak. Each row is judged by its own text, also among rows of one key or none; only rows
+    equal in key and text are judged together, by a 64-bit fingerprint of both."""
+    own = "__id"
+    while own.lower() in {c.lower() for c in docs.columns}:
+        own = f"_{own}"
+    marked = docs.withColumn(own, F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")))
+    bad = leaks(marked.select(own, text), benchmark, own, text).select(own).distinct()
+    return marked.join(bad, own, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -318,3 +318,13 @@ def test_leaks_query(spark, query, documents):
     squeeze = lambda t: " ".join(t.split())
     want = {(k, i) for k, t in pairs(documents) for i, x in items if squeeze(x) in squeeze(t)}
     assert {(r["doc_id"], r["item_id"]) for r in query("op9_decontaminate")} == want
+
+
+def test_a_leak_takes_its_own_row_only(spark):
+    question = "If Anna buys 12 apples for 3 dollars each and sells 5 of them to Bob, how many apples are left in the basket?"
+    benchmark = spark.createDataFrame([(1, question)], "item_id long, text string")
+    rows = [(None, question, 1), (None, "clean text of no key", 2), (None, None, 3), (7, question, 4), (7, "clean", 5), (7, question, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int")
+    kept = decontaminate.without_leaks(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(r["__id"] for r in kept.collect()) == [2, 3, 5]
+    assert decontaminate.without_leaks(docs.limit(0), benchmark).count() == 0
