@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attestry import schemas
 from attestry.functions.yamljson import yaml_to_json
+from attestry.session import folder_names
 
 CORRUPT = "_corrupt_record"
 LOG_LINES = T.StructType(schemas.RESPONSE_LOG.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -93,7 +96,11 @@ def read_runs(spark: SparkSession, pattern: str) -> DataFrame:
 def current_run(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of the newest dated run of a table partitioned by ``run_ts``.
 
-    The newest run is found from partition values; only its files are read.
+    The newest run is found from the names of the run folders; files of the others are not opened.
     """
-    frame = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    return frame.filter(F.col("run_ts") == frame.agg(F.max("run_ts")).scalar())
+    path = f"{root.rstrip('/')}/{table}"
+    names = [n for n in folder_names(spark, path) if n.startswith("run_ts=")]
+    if not names:
+        raise ValueError(f"no run of {table} under {root}")
+    newest = max(names, key=lambda n: unquote(n.split("=", 1)[1]))
+    return spark.read.option("basePath", path).parquet(f"{path}/{newest}")

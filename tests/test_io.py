@@ -41,6 +41,13 @@ def test_runs(spark, tmp_path, rows):
     writers.write_run({"t": spark.range(5, 6).toDF("id")}, root, "2024-02-01")
     writers.write_run({"t": spark.range(7, 8).toDF("id")}, root, "2024-02-01")
     assert rows(readers.current_run(spark, root, "t"), "id") == [(7,)]
+    # Files of older runs are not opened.
+    (tmp_path / "runs/t/run_ts=2023-01-01").mkdir()
+    (tmp_path / "runs/t/run_ts=2023-01-01/broken.parquet").write_text("no table")
+    assert rows(readers.current_run(spark, root, "t"), "id") == [(7,)]
+    (tmp_path / "runs/t/run_ts=2023-01-01/broken.parquet").unlink()
+    with pytest.raises(ValueError):
+        readers.current_run(spark, root, "none")
     both = readers.read_runs(spark, f"{root}/t/run_ts=*")
     assert both.count() == 3 and "run_ts=" in both.first()["source_file"]
     assert writers.count_where(spark, f"{root}/t/run_ts=*", "id > 0").first()[0] == 2
