@@ -4,11 +4,11 @@ Each language has a variable-order byte context tree. The code length of a byte
 in training: a symbol seen there costs -log2(n / (total + kinds)), any other first pays the escape
 -log2(kinds / (total + kinds)) and is then coded one order lower; below order 0 all 256 bytes are alike. The statistics
 are frozen after training and exclude nothing, so the code length of a byte is a function of the byte and the three
-before it. The trees of all languages are therefore laid out as one table of code lengths, and a whole text is scored by
-looking its bytes up and adding.
+before it. The trees of all languages are therefore laid out as tables of code lengths, and a whole text is scored by
+looking its bytes up and adding: the four bytes that end there, if any language has seen them; else the escapes from the
+three before, and the code length at order two.
 
-The model is fitted on a bounded sample (`rows_per_language`, drawn by hash) and holds at most `max_contexts` contexts of
-order three; a rarer one is coded at order two.
+The model is fitted on a bounded sample (`rows_per_language`, drawn by hash) and holds all contexts that occur in it.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from attestry.llm.blocks import append_columns, blocks
 
 ROWS_PER_LANGUAGE = 600
-MAX_CONTEXTS = 1 << 13
 UNKNOWN = "und"
 GRACE = 64
 FIELDS = {"lang_pred": "string", "score": "double", "bits_per_byte": "double"}
@@ -32,14 +31,18 @@ FIELDS = {"lang_pred": "string", "score": "double", "bits_per_byte": "double"}
 
 @dataclass
 class PpmModel:
-    """`symbol` maps bytes to symbols (0: never seen), `third` a packed three-symbol context to its row block or -1,
-    `cost[row, language]` is a code length in bits."""
+    """Code lengths in bits for each language: `low` of a symbol after two others, `four` of the runs of four bytes in
+    `grams` (sorted), `escape` from the contexts of three bytes in `contexts` (sorted; 0 where a language lacks it).
+    `symbol` maps bytes to symbols (0: never seen)."""
 
     languages: list[str]
     symbol: np.ndarray
     kinds: int
-    third: np.ndarray
-    cost: np.ndarray
+    low: np.ndarray
+    grams: np.ndarray
+    four: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -87,26 +90,18 @@ def sample_rows(labelled: DataFrame, key: str, label: str, rows: int) -> DataFra
     return labelled.filter(drawn < limit)
 
 
-def _costs(languages: list[str], frames: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int) -> PpmModel:
+def _costs(languages: list[str], frames: dict[str, tuple[np.ndarray, np.ndarray]]) -> PpmModel:
     # Zero stands before a text, so it has a symbol of its own.
     seen = np.unique(np.concatenate([[0], *(g & 0xFF for g, _ in frames.values())]))
     symbol = np.zeros(256, dtype=np.int32)
     symbol[seen] = np.arange(1, len(seen) + 1)
     kinds = len(seen) + 1
-    parts = {
-        name: tuple(symbol[(g >> shift) & 0xFF] for shift in (24, 16, 8, 0)) + (n.astype(np.float64),)
-        for name, (g, n) in frames.items()
-    }
-    pack = lambda a, b, c: (a.astype(np.int64) * kinds + b) * kinds + c
-    weight = np.zeros(kinds**3)
-    for a, b, c, _, n in parts.values():
-        np.add.at(weight, pack(a, b, c), n)
-    chosen = np.flatnonzero(weight)
-    if len(chosen) > max_contexts:
-        chosen = np.sort(chosen[np.argsort(-weight[chosen], kind="stable")[:max_contexts]])
-    third = np.full(kinds**3, -1, dtype=np.int32)
-    third[chosen] = np.arange(len(chosen))
-    cost = np.empty((kinds**3 + len(chosen) * kinds, len(languages)), dtype=np.float32)
+    grams = np.unique(np.concatenate([g for g, _ in frames.values()])).astype(np.uint32)
+    contexts, of = np.unique(grams >> np.uint32(8), return_inverse=True)
+    b, c, s = (symbol[(grams >> np.uint32(shift)) & np.uint32(0xFF)] for shift in (16, 8, 0))
+    low = np.empty((kinds**3, len(languages)), dtype=np.float32)
+    four = np.empty((len(grams), len(languages)), dtype=np.float32)
+    escape = np.empty((len(contexts), len(languages)), dtype=np.float32)
 
     def order(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
         total = counts.sum(axis=-1, keepdims=True)
@@ -115,19 +110,20 @@ def _costs(languages: list[str], frames: dict[str, tuple[np.ndarray, np.ndarray]
         return np.where(total == 0, below, np.where(counts > 0, counts / whole, distinct / whole * below))
 
     for k, name in enumerate(languages):
-        a, b, c, s, n = parts[name]
+        n = np.zeros(len(grams))
+        n[np.searchsorted(grams, frames[name][0].astype(np.uint32))] = frames[name][1]
         two = np.zeros((kinds, kinds, kinds))
         np.add.at(two, (b, c, s), n)
         zero = order(two.sum(axis=(0, 1)), np.full(kinds, 1 / 256))
-        one = order(two.sum(axis=0), zero)
-        second = order(two, one)
-        own = np.zeros((len(chosen), kinds))
-        at = third[pack(a, b, c)]
-        np.add.at(own, (at[at >= 0], s[at >= 0]), n[at >= 0])
-        rest = second.reshape(kinds * kinds, kinds)[chosen % (kinds * kinds)]
-        cost[: kinds**3, k] = -np.log2(second.ravel())
-        cost[kinds**3 :, k] = -np.log2(order(own, rest)).ravel()
-    return PpmModel(languages, symbol, kinds, third, cost)
+        second = order(two, order(two.sum(axis=0), zero))
+        low[:, k] = -np.log2(second.ravel())
+        total = np.bincount(of, n, len(contexts))
+        distinct = np.bincount(of, n > 0, len(contexts))
+        left = np.where(total == 0, 1.0, distinct / np.maximum(total + distinct, 1))
+        escape[:, k] = -np.log2(left)
+        held = np.where(n > 0, n / np.maximum(total + distinct, 1)[of], left[of] * second[b, c, s])
+        four[:, k] = -np.log2(held)
+    return PpmModel(languages, symbol, kinds, low, grams, four, contexts, escape)
 
 
 def fit(
@@ -136,7 +132,6 @@ def fit(
     text: str = "text",
     label: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE,
-    max_contexts: int = MAX_CONTEXTS,
 ) -> PpmModel | None:
     """Fit on the rows with a text and a label; None where there are none.
 
@@ -149,7 +144,7 @@ def fit(
     names = np.array(rows.column("label").to_pylist(), dtype=object)
     gram, n = (rows.column(x).to_numpy() for x in ("gram", "n"))
     frames = {name: (gram[names == name], n[names == name]) for name in set(names)}
-    return _costs(sorted(frames), frames, max_contexts)
+    return _costs(sorted(frames), frames)
 
 
 def code_lengths(model: PpmModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -159,14 +154,19 @@ def code_lengths(model: PpmModel, data: np.ndarray, offsets: np.ndarray) -> np.n
     if not len(data):
         return bits
     grams = _grams(data, offsets)
-    now = model.symbol[data]
-    low = [model.symbol[(grams >> np.uint32(8 * back)) & np.uint32(0xFF)] for back in (1, 2, 3)]
     kinds = model.kinds
-    second = low[1] * kinds + low[0]
-    block = model.third[(low[2].astype(np.int64) * kinds) * kinds + second]
-    row = np.where(block >= 0, kinds**3 + block.astype(np.int64) * kinds, second.astype(np.int64) * kinds) + now
+    before = [model.symbol[(grams >> np.uint32(8 * back)) & np.uint32(0xFF)] for back in (2, 1)]
+    cost = model.low[(before[0].astype(np.int64) * kinds + before[1]) * kinds + model.symbol[data]]
+    at = np.minimum(np.searchsorted(model.grams, grams), len(model.grams) - 1)
+    known = model.grams[at] == grams
+    cost[known] = model.four[at[known]]
+    rest = np.flatnonzero(~known)
+    context = grams[rest] >> np.uint32(8)
+    at = np.minimum(np.searchsorted(model.contexts, context), len(model.contexts) - 1)
+    met = model.contexts[at] == context
+    cost[rest[met]] += model.escape[at[met]]
     full = lengths > 0
-    bits[full] = np.add.reduceat(model.cost[row], offsets[:-1][full], axis=0, dtype=np.float64)
+    bits[full] = np.add.reduceat(cost, offsets[:-1][full], axis=0, dtype=np.float64)
     return bits
 
 
