@@ -384,9 +384,10 @@ def _led(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Rows of `docs` that lead their component: the smallest key of each. Rows without words all stay.
+    """Rows of `docs` that lead their component: the smallest key of each. Rows without words link with nothing and stay.
 
-    Of rows with one key, null or not, the first of the scan leads. Of repeated rows (equal key and text) one stays.
+    Of rows with one key, null or not, the first of the scan leads. Of repeated rows (equal key and text, null or not) one
+    stays, also of those without words.
     """
     held = numbered(docs)
     found = _led(keyed(held, key, text), size, percent)
