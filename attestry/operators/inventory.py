@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.functions.yamljson import yaml_to_json
+from attestry.functions.yamljson import spread, yaml_to_json
 
 
 def headings(files: DataFrame, key: str, text: str) -> DataFrame:
@@ -34,9 +34,8 @@ def instruction_counts(lines: DataFrame) -> DataFrame:
 
 def land_yaml(files: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Texts as JSON documents, and the rows that are not YAML."""
-    landed = files.select(
-        F.col(key), F.col(text).alias("content"), yaml_to_json(F.col(text)).alias("document")
-    )
+    texts = spread(files.select(F.col(key), F.col(text).alias("content")))
+    landed = texts.select(key, "content", yaml_to_json(F.col("content")).alias("document"))
     good = landed.filter(F.col("document").isNotNull()).select(key, "document")
     bad = landed.filter(F.col("document").isNull()).select(key, "content")
     return good, bad

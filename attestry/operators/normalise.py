@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from attestry import schemas
 from attestry.functions import values as V
-from attestry.functions.yamljson import yaml_to_json
+from attestry.functions.yamljson import spread, yaml_to_json
 
 EXTENDED = "GetRepoDataExtendedInfo"
 LEGACY = "GetRepoDataArtifacts"
@@ -225,7 +225,7 @@ def with_parsed_content(files: DataFrame) -> DataFrame:
     ``parsed_json`` is NULL for other kinds and for YAML that does not parse; ``markdown_headings`` is NULL for other kinds.
     """
     kind, content = F.col("type"), F.col("content")
-    return files.withColumns(
+    return spread(files).withColumns(
         {
             "parsed_json": F.try_parse_json(yaml_to_json(F.when(kind == "yml", content))),
             "markdown_headings": F.when(
@@ -277,7 +277,7 @@ def schema_version(document: Column) -> Column:
 def land_insights(texts: DataFrame, fetched_at: Column | None = None) -> DataFrame:
     """YAML insight texts as JSON documents; ``document`` is NULL on bad YAML."""
     when = F.current_timestamp() if fetched_at is None else fetched_at
-    return texts.select(
+    return spread(texts.select("repo_id", "source_url", "content")).select(
         "repo_id",
         "source_url",
         yaml_to_json(F.col("content")).alias("document"),

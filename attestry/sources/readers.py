@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attestry import schemas
-from attestry.functions.yamljson import yaml_to_json
+from attestry.functions.yamljson import spread, yaml_to_json
 from attestry.session import folder_names
 
 CORRUPT = "_corrupt_record"
@@ -64,10 +64,8 @@ def split_project_list(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_landscape(spark: SparkSession, path: str) -> DataFrame:
     """Landscape YAML files, one row per file, parsed to the nested schema."""
-    files = spark.read.text(path, wholetext=True)
-    parsed = files.select(
-        F.input_file_name().alias("source_file"), yaml_to_json(F.col("value")).alias("json")
-    )
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_file"), "value")
+    parsed = spread(files).select("source_file", yaml_to_json(F.col("value")).alias("json"))
     return parsed.select("source_file", F.from_json("json", schemas.LANDSCAPE).alias("doc"))
 
 

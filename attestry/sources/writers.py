@@ -9,6 +9,10 @@ from attestry import schemas
 from attestry.functions import values as V
 from attestry.operators.joins import left_join_many
 
+# Options of writes with a file or folder for each of very many rows or keys: each task moves its own files into place when
+# it ends, instead of the driver all of them, one after another, when the job ends.
+MANY_FILES = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
 
 def describe_columns(frame: DataFrame) -> DataFrame:
     """Attach column descriptions; Spark stores them in the Parquet footer."""

@@ -290,3 +290,17 @@ def test_names_and_paths(spark):
     assert tuple(row) == (
         ".github__security-insights.yml", "a_b_c", "Sbom Generator", "a__Makefile", "x", "", "dockerfile", "markdown",
     )
+
+
+def test_yaml_is_parsed_once_in_many_tasks(spark, rows):
+    texts = spark.createDataFrame(
+        [(f"R{i}", "u", "a: [1" if i % 10 == 0 else f"a: {i % 3}\n") for i in range(400)], "repo_id string, source_url string, content string"
+    ).coalesce(1)
+    good, bad = N.split_insights(N.land_insights(texts))
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_convert(") == 1  # not once for the filter and once for the result
+    # one task would read the whole file otherwise
+    assert good.select(F.spark_partition_id()).distinct().count() > 1
+    assert {(r.document, r["count"]) for r in good.groupBy("document").count().collect()} == {
+        ('{"a": %d}' % k, sum(1 for i in range(400) if i % 10 and i % 3 == k)) for k in range(3)}
+    assert bad.count() == 40

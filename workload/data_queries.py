@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from attestry import schemas
 from attestry.functions import values as V
+from attestry.functions.yamljson import spread
 from attestry.operators import insights, inventory, landscape, latest
 from attestry.operators import normalise as N
 from attestry.operators.detect import detect_tools
@@ -631,7 +632,8 @@ def landscape_files(g):
     """Landscape documents from their YAML files, one file for each supplier."""
     path = work_dir(g.spark, "landscape")
     pad = F.concat(F.lit("# landscape\n"), F.to_json("doc"))
-    g.landscape.select(pad).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+    files = spread(g.landscape.select(pad)).write.option("maxRecordsPerFile", 1).option("lineSep", "\n")
+    files.options(**writers.MANY_FILES).text(path)
     items = landscape.landscape_items(readers.read_landscape(g.spark, path).select("doc"))
     return landscape.project_records(items).select(
         "project_name", "category", "tag_associations", "latest_audit_vendor"

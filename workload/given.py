@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry import schemas
+from attestry.functions.yamljson import spread
 from attestry.operators import classify, detect
 from attestry.operators import normalise as N
 from attestry.plans import project_summary, repo_summary
@@ -343,11 +344,11 @@ class Given:
             F.col("c_name").alias("repo"),
             F.struct(F.col("n_name").alias("owner"), F.col("c_name").alias("name")).alias("inputs"),
         )
+        response = F.struct(F.when(F.col("c_acctbal") >= -900, repo).alias("repository")).cast(answer)
+        # A generated column: it is built once a row, not once for each of its fields that is read.
         return rows.select(
             metadata.cast(schemas.RESPONSE_LOG["metadata"].dataType).alias("metadata"),
-            F.struct(F.when(F.col("c_acctbal") >= -900, repo).alias("repository"))
-            .cast(answer)
-            .alias("response"),
+            F.explode(F.array(response)).alias("response"),
         )
 
     def _of_owner(self, rows: DataFrame) -> DataFrame:
@@ -379,7 +380,7 @@ class Given:
         insight = _text("header:\n  schema-version: 2.0.0\nproject:\n  name: ", F.col("c_name"), "\n")
         rules = F.array(no_rule, rule("release/*", F.lit(1)), no_rule, rule("v*", F.lit(2)))
         return self._answers(
-            self.owners,
+            spread(self.owners),
             {
                 "description": segment,
                 "hasVulnerabilityAlertsEnabled": F.col("c_acctbal") > 0,
