@@ -111,9 +111,10 @@ def upsert_in_place(arrived: DataFrame, path: str, parts: int = 64) -> None:
         merged = upsert_documents(known, arrived)
     else:
         merged = upsert_documents(arrived.limit(0), arrived)
+    # The ranking has dealt the rows by key already, so that every task holds some of each folder and no folder is one
+    # task's work; dealing them once more by folder would move every document twice.
     (
-        merged.hint("rebalance", "part")
-        .write.mode("overwrite")
+        merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy("part")

@@ -175,3 +175,19 @@ def test_workflow_search(spark):
     assert got[2].sbom is None and got[2].tool > 0
     plain = {r.id: r for r in search.bm25_scores(flows, "content", scores).collect()}
     assert got[0].sbom == pytest.approx(plain["1"].sbom) and got[0].tool == pytest.approx(plain["1"].tool)
+
+
+def test_upserts_deal_rows_by_key_only(spark, tmp_path):
+    """Dealt a second time, by folder, each folder would be one task's work and every document would move twice."""
+    name, path = "spark.sql.adaptive.coalescePartitions.enabled", str(tmp_path / "t")
+    spread_out = lambda: all(len([f for f in files if f.endswith(".parquet")]) > 1 for files in files_of(path).values())
+    spark.conf.set(name, "false")
+    try:
+        latest.upsert_in_place(documents(spark, "1", range(200), "2024-01-01"), path, 4)
+        assert spread_out()
+        latest.upsert_in_place(documents(spark, "2", range(0, 200, 2), "2024-02-01"), path, 4)
+    finally:
+        spark.conf.set(name, "true")
+    assert spread_out()
+    got = spark.read.parquet(path)
+    assert got.count() == 200 and got.filter("schema_version = '2'").count() == 100
