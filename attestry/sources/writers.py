@@ -154,13 +154,24 @@ def append_responses(log: DataFrame, path: str) -> None:
 def write_responses_by_repo(latest: DataFrame, path: str) -> None:
     """Responses only, one folder per repository.
 
-    Rows are rebalanced by repository: the run-time plan joins small repositories into one task and splits a repository
-    that holds much of the log over several, by the sizes it has measured.
+    Making a folder takes longer than filling it, so repositories are dealt over all shuffle partitions by number, not by
+    size; one with more than a partition's share of the rows is split over several. There are fewer of those than
+    partitions, whatever the log. Each task moves its own folders into place.
     """
+    parts = int(latest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = latest.select("metadata.owner", "metadata.repo", "response")
+    share = max(1, rows.count() / parts)
+    counts = rows.groupBy(F.col("owner").alias("_owner"), F.col("repo").alias("_repo")).agg(F.count("*").alias("_rows"))
+    large = counts.filter(F.col("_rows") > share).withColumn("_pieces", F.ceil(F.col("_rows") / share))
+    same = F.col("owner").eqNullSafe(F.col("_owner")) & F.col("repo").eqNullSafe(F.col("_repo"))
+    piece = F.pmod(F.monotonically_increasing_id(), F.coalesce("_pieces", F.lit(1)))
     (
-        latest.select("metadata.owner", "metadata.repo", "response")
-        .hint("rebalance", "owner", "repo")
+        rows.join(F.broadcast(large), same, "left")
+        .select("owner", "repo", "response", piece.alias("_piece"))
+        .repartition(parts, "owner", "repo", "_piece")
+        .drop("_piece")
         .write.mode("overwrite")
+        .options(**MANY_FILES)
         .partitionBy("owner", "repo")
         .json(path)
     )

@@ -191,3 +191,14 @@ def test_upserts_deal_rows_by_key_only(spark, tmp_path):
     assert spread_out()
     got = spark.read.parquet(path)
     assert got.count() == 200 and got.filter("schema_version = '2'").count() == 100
+
+
+def test_small_folders_are_written_by_all_tasks(spark, tmp_path, rows):
+    repo = F.expr("IF(id % 40 = 0, NULL, string(id % 40))")
+    log = spark.range(80).select(
+        F.struct(F.lit("o").alias("owner"), repo.alias("repo")).alias("metadata"), F.struct(F.col("id").alias("n")).alias("response"))
+    writers.write_responses_by_repo(log.coalesce(1), str(tmp_path / "by"))
+    files = list((tmp_path / "by").glob("owner=o/repo=*/*.json"))
+    assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) > 1  # numbers of the tasks
+    back = spark.read.schema("response struct<n: long>, owner string, repo string").json(str(tmp_path / "by"))
+    assert rows(back.select("repo", "response.n")) == rows(log.select("metadata.repo", "response.n"))
