@@ -115,8 +115,7 @@ def extension_sql(name: str, extensions: list[str]) -> str:
 
 def tokens(text: Column) -> Column:
     """The words of a text as an array (empty for a text without letters)."""
-    inner = F.trim(words(text))
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, " +"))
+    return F.array_remove(F.split(F.trim(words(text)), " "), "")
 
 
 def term_frequency(word_text: Column, word: str) -> Column:

@@ -138,25 +138,37 @@ def workflow_search(
     )
 
 
+def _counted(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """``(id, field, term, tf)`` of each row by itself: the sorted words of a text, cut where a new word begins."""
+    fields_of = F.array(
+        *[F.struct(F.lit(f).alias("field"), F.sort_array(X.tokens(F.col(f))).alias("terms")) for f in fields]
+    )
+    begins = "filter(sequence(1, size(terms)), i -> i = 1 OR terms[i - 1] != terms[greatest(i - 2, 0)])"
+    ends = "coalesce(get(begins, n + 1), size(terms) + 1)"
+    counts = f"transform(begins, (at, n) -> struct(terms[at - 1] AS term, bigint({ends} - at) AS tf))"
+    # Rows leave the last step without the arrays; a generator copies all that it keeps of a row into each of its rows.
+    return (
+        rows.select("id", F.inline(fields_of))
+        .select("id", "field", "terms", F.expr(f"IF(size(terms) > 0, {begins}, NULL)").alias("begins"))
+        .select("id", "field", F.inline(F.expr(counts)))
+    )
+
+
 def term_index(texts: DataFrame, table: str, key: str, fields: list[str]) -> DataFrame:
     """Postings ``(table_name, id, field, term, tf)`` of the given text columns.
 
-    All words of one text sit in one input partition, so the partial aggregate
-    does the counting before the shuffle; the shuffle key includes the text's
-    id, so a word found everywhere does not gather in one task.
+    Texts are dealt out by id, before they are split, and counted row by row; their postings are not shuffled. Only those
+    of ids that several rows share are added up, by id and term, so a word or an id found everywhere does not gather in one
+    task.
     """
-    fields_of = F.array(
-        *[F.struct(F.lit(f).alias("field"), X.tokens(F.col(f)).alias("terms")) for f in fields]
-    )
-    exploded = (
-        texts.select(F.col(key).cast("string").alias("id"), F.inline(fields_of))
-        .select("id", "field", F.explode("terms").alias("term"))
-    )
-    return (
-        exploded.groupBy("id", "field", "term")
-        .agg(F.count("*").alias("tf"))
-        .select(F.lit(table).alias("table_name"), "id", "field", "term", "tf")
+    rows = texts.select(F.col(key).cast("string").alias("id"), *fields)
+    shared = rows.groupBy("id").count().filter("count > 1").select(F.col("id").alias("_shared"))
+    met = F.col("id").eqNullSafe(F.col("_shared"))
+    alone = _counted(rows.join(shared, met, "left_anti"), fields)
+    added = (
+        _counted(rows.join(shared, met, "left_semi"), fields).groupBy("id", "field", "term").agg(F.sum("tf").alias("tf"))
     )
+    return alone.unionByName(added).select(F.lit(table).alias("table_name"), "id", "field", "term", "tf")
 
 
 def save_term_index(postings: DataFrame, table: str, path: str, buckets: int = 256, salts: int = 8) -> None:

@@ -2,6 +2,8 @@
 
 import json
 import os
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from attestry import schemas
 from attestry.operators import search
 from attestry.operators.detect import detect_tools
 from attestry.plans import models
-from attestry.session import work_dir
+from attestry.session import RUNTIME_CONF, work_dir
 from attestry.sources import readers, writers
 from attestry.streaming import ingest
 
@@ -118,6 +120,31 @@ def test_term_index_in_buckets(spark, tmp_path, rows):
         spark.sql("DROP TABLE terms_of_test")
 
 
+def test_term_index_counts_rows_where_they_are(spark, rows):
+    texts = [("a", "MIT mit, of 12 x", None), ("b", "x", "Y y x"), (None, "mit", "-"), (None, "of mit", ""), ("c", "", "x X"),
+             ("d", None, None), ("b", "X z", "y"), ("b", "z", None)]
+    frame = spark.createDataFrame(texts, "id string, t string, u string")
+    want = Counter()
+    for key, *fields in texts:
+        for field, text in zip("tu", fields):
+            for word in re.findall("[a-z]+", (text or "").lower()):
+                want[key, field, word] += 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for few in (frame.limit(0), frame, frame.filter("id != 'b'")):
+            got = search.term_index(few, "docs", "id", ["t", "u"])
+            found = rows(got, "id", "field", "term", "tf")
+            ids = {r.id for r in few.collect()}
+            assert found == sorted(((*k, n) for k, n in want.items() if k[0] in ids), key=repr)
+        # Ids of one row each: texts are dealt out, and no posting is shuffled by term.
+        alone = search.term_index(frame.filter("id != 'b'"), "docs", "id", ["t", "u"])
+        alone.collect()
+        told = alone._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "Exchange hashpartitioning" in told and "term#" not in "".join(re.findall(r"hashpartitioning\(.*", told))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", RUNTIME_CONF["spark.sql.autoBroadcastJoinThreshold"])
+
+
 def test_ranked_search_order_and_misses(spark):
     texts = spark.createDataFrame(
         [(1, "sbom " + "word " * 50), (2, "sbom sbom"), (3, "syft"), (4, "nothing"), (5, None)], "id int, t string")
