@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -61,6 +62,27 @@ def test_search_ties_of_several_shards(spark, monkeypatch):
     assert [r["doc_id"] for r in got] == list(range(60, 660, 60))
 
 
+def test_search_scores_candidates_without_a_step_per_term(monkeypatch):
+    rng = np.random.default_rng(6)
+    n, terms = 300, 900
+    held = [np.flatnonzero(rng.random(n) < rng.choice([0.02, 0.3])) for _ in range(terms)]
+    df = np.array([len(x) for x in held], np.int32)
+    row = {"keys": np.arange(n), "lengths": rng.integers(50, 300, n).astype(np.int32), "df": df, "docs": np.concatenate(held).astype(np.int32),
+           "terms": np.arange(terms, dtype=np.uint64) * np.uint64(7), "times": rng.integers(1, 9, df.sum()).astype(np.int32)}
+    shard, idf = search.Shard(row, 150.0), rng.random(terms) + 0.1
+    calls, real = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: calls.append(1) or real(*a, **k))
+    tops = [(np.zeros(0), np.zeros(0, np.int64))]
+    shard.score(search.Queries(np.array([1]), np.array([0, terms]), row["terms"], idf), tops, 10)
+    want = np.zeros(n)
+    for t in range(terms):
+        own = slice(shard.start[t], shard.start[t + 1])
+        want[shard.docs[own]] += shard.part[own] * idf[t]
+    order = np.lexsort((np.arange(n), -want))[:10]
+    assert list(tops[0][1]) == list(order) and list(tops[0][0]) == list(want[order])
+    assert len(calls) <= 2
+
+
 def test_search_of_odd_rows(odd, empty):
     queries = odd.filter("doc_id IN (1, 4, 5, 7, 12)")
     rows = search.search(odd, queries).collect()
