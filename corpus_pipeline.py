@@ -16,6 +16,9 @@ from attestry.llm import decontaminate, jaccard, language, packing, suffixes
 from attestry.llm.queries import prepared, table, tokenizer
 from attestry.llm.store import drop, noted, release, stored
 
+#: Passages of over so many words that stand elsewhere as well go, and so do repeated stretches of 400 bytes.
+PASSAGE = 50
+
 #: Tables that the newest stage over a folder has stored. They are read until that stage's result is written.
 _HELD: dict[str, list[str]] = {}
 
@@ -50,7 +53,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the long passages that stand elsewhere as well. No document goes; n_chars follows its text."""
-    kept = suffixes.remove(docs)
+    kept = suffixes.remove(docs, passage=PASSAGE + 1)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 

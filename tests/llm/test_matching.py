@@ -9,9 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from attestry.llm import automata, decontaminate, jaccard, search, suffixes
 from attestry.llm.components import components
 
+WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -238,6 +240,41 @@ def test_rows_of_one_key_are_apart(spark):
     assert left[texts[2][1]] == 1 and left["short"] == 1 and left[""] == 2
 
 
+def test_passages_of_words_go(spark):
+    """Passages of 51 words go in every document though they have less than 400 bytes; those of 50 stay, as do 399 bytes."""
+    rng = random.Random(11)
+    draw = lambda k, n=9: " ".join(f"{rng.randrange(10**n):0{n}d}" for _ in range(k))
+    short, below, long = draw(51, 5), draw(50, 5), draw(45)  # 305, 299 and 449 bytes
+    wide = "  \n".join(short.split())  # the same words with other white space
+    many = draw(51, 4)  # its anchor occurs with more than 64 contents
+    rows = [(1, f"{draw(30)} {short}\n{draw(20)}"), (2, f"\u00c4 {wide} {draw(9)}"), (None, f"{below} {draw(60)}"), (4, f"{draw(3)} {below}"),
+            (5, f"{draw(8)} {long} {short} {draw(4)}"), (5, f"{long} q{draw(7)}"), (6, None), (7, ""), (8, "x " * 60), (9, short)]
+    rows += [(10 + i, f"{draw(2)} {many} {draw(2)}") for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen = Counter(tuple(w[i : i + 51]) for _, t in rows for w in [(t or "").split()] for i in range(len(w) - 50))
+    want = []
+    for _, t in rows:
+        w = (t or "").split()
+        gone = {j for i in range(len(w) - 50) if seen[tuple(w[i : i + 51])] > 1 for j in range(i, i + 51)}
+        want.append([x for j, x in enumerate(w) if j not in gone and x not in long.split()])
+    got = suffixes.remove(docs, passage=51).collect()
+    assert sorted((r["text"] or "").split() for r in got) == sorted(want)
+    assert short in Counter(r["text"] for r in suffixes.remove(docs).collect())  # by bytes alone it stays
+    texts = {r["doc_id"]: r["text"] for r in got}
+    assert texts[6] is None and texts[9] == "" and texts[2].startswith("\u00c4  ") and below in texts[4]
+
+
+def test_pipeline_takes_out_passages_of_over_50_words(spark):
+    draw = lambda seed, k: " ".join(random.Random(seed).choices(WORDS, k=k))
+    passage = draw(0, 52)
+    rows = [(i, f"{draw(i, 40)} {passage} {draw(-i, 40)}", "en", "s", 1) for i in (1, 2, 3)] + [(4, draw(4, 200), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in corpus_pipeline.without_repeats(spark, docs, "a folder").collect()}
+    assert len(passage) < 400 and not any(passage in r["text"] for r in got.values())
+    assert got[4]["text"] == rows[3][1] and all(r["n_chars"] == len(r["text"]) for r in got.values())
+    assert got[1]["text"] == f"{draw(1, 40)}  {draw(-1, 40)}"
+
+
 def test_one_of_each_by_rows(spark):
     near = " ".join(f"n{i}" for i in range(100))
     rows = [(None, near), (None, near + " end"), (None, "other words"), (1, near), (1, "its own text of one"), (2, "its own text of one"), (3, None)]
