@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from attestry.llm.blocks import (
     NULL_ID,
+    SMALL_BLOCK_BYTES,
     Block,
     append_columns,
     blocks,
@@ -93,7 +94,7 @@ def _classes(docs: DataFrame, size: int) -> DataFrame:
     def make() -> Callable[[pa.RecordBatch], dict]:
         def work(batch: pa.RecordBatch) -> dict:
             ids, counts = [], []
-            for block in blocks(batch.column(batch.schema.get_field_index("text"))):
+            for block in blocks(batch.column(batch.schema.get_field_index("text")), SMALL_BLOCK_BYTES):
                 grams, offsets = shingle_sets(block, size)
                 ids.append(_class_ids(grams, offsets))
                 counts.append(np.diff(offsets))
@@ -110,7 +111,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, whole: bool) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), SMALL_BLOCK_BYTES):
                 grams, offsets = shingle_sets(block, size)
                 ids, n = _class_ids(grams, offsets), np.diff(offsets)
                 keep = np.zeros(len(n), dtype=bool)
@@ -134,7 +135,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), SMALL_BLOCK_BYTES):
                 grams, offsets = shingle_sets(block, size)
                 raw = grams.tobytes()
                 yield pa.RecordBatch.from_pydict(

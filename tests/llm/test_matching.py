@@ -10,7 +10,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from attestry.llm import automata, decontaminate, jaccard, search, suffixes
+from attestry.llm import automata, decontaminate, jaccard, repeats, search, suffixes
+from attestry.llm.blocks import Block
 from attestry.llm.components import components
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
@@ -240,6 +241,28 @@ def test_rows_of_one_key_are_apart(spark):
     assert left[texts[2][1]] == 1 and left["short"] == 1 and left[""] == 2
 
 
+def test_a_block_of_chunks_or_shingles_stays_small(monkeypatch):
+    """No step of the Jaccard join or of the substring operators sees more of a batch at once than a small block."""
+    seen = []
+    for module, name in ((jaccard, "shingle_sets"), (repeats, "chunks_of")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, f=real: seen.append(max(len(x.data) for x in a if isinstance(x, Block))) or f(*a))
+    batch = pa.RecordBatch.from_pydict({"text": [f"{i} " + "some words of a text " * 500 for i in range(200)], "doc": range(200), "row": range(200)})
+
+    class Frame:
+        """Stands for a DataFrame: hands the batch to the function of the tasks."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return sum(x.num_rows for x in run(iter([batch])))
+
+    assert jaccard._prefixes(Frame(), 5, 80, True) and jaccard._sets(Frame(), 5) == 200
+    assert repeats._chunks(Frame(), repeats.Frame(False, 400, 128, False), True)
+    assert max(seen) <= 1 << 18 and batch.nbytes > 1 << 20
+
+
 def test_passages_of_words_go(spark):
     """Passages of 51 words go in every document though they have less than 400 bytes; those of 50 stay, as do 399 bytes."""
     rng = random.Random(11)
