@@ -11,7 +11,7 @@ import pytest
 
 import corpus_pipeline
 from attestry.llm import automata, decontaminate, jaccard, repeats, search, suffixes
-from attestry.llm.blocks import Block
+from attestry.llm.blocks import Block, per_document
 from attestry.llm.components import components
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
@@ -86,6 +86,56 @@ def test_search_scores_candidates_without_a_step_per_term(monkeypatch):
     assert len(calls) <= 2
 
 
+def test_search_hands_on_the_best_only(spark, monkeypatch):
+    """The best of each task, ten rows for each query and task, would grow with the square of the input."""
+    for name, value in (("SHARD_BYTES", 3000), ("FIRST", 1), ("GROWTH", 1), ("TOGETHER", 3)):
+        monkeypatch.setattr(search, name, value, raising=False)
+    rng = random.Random(8)
+    text = lambda: " ".join(rng.choice(WORDS[: rng.choice([9, 150])]) for _ in range(rng.randrange(1, 60)))
+    rows = [(i, text()) for i in range(700)] + [(i, None if i % 2 else " ") for i in range(700, 720)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id")
+    hits, real = [], search.stored
+
+    def stored(df, purpose):
+        out = real(df, purpose)
+        hits.extend([out.count()] if purpose == "hits" else [])
+        return out
+
+    monkeypatch.setattr(search, "stored", stored)
+    got = defaultdict(list)
+    for r in search.search(docs, docs.filter("doc_id % 50 = 0")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["score"])
+    want = dict(bm25(rows, [x for x in rows if x[0] % 50 == 0 and x[0] < 700]))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+    assert hits and max(hits) <= 10 * len(want)
+
+
+def test_search_scores_queries_together(monkeypatch):
+    rng = np.random.default_rng(9)
+    n, terms, top = 700, 400, 10
+    held = [np.sort(rng.choice(n, rng.choice([1, 20, 200, 600]), replace=False)) for _ in range(terms)]
+    df = np.array([len(x) for x in held], np.int32)
+    row = {"keys": np.arange(n) * 3, "lengths": rng.integers(50, 300, n).astype(np.int32), "df": df, "docs": np.concatenate(held).astype(np.int32),
+           "terms": np.arange(terms, dtype=np.uint64) * np.uint64(2), "times": rng.integers(1, 9, df.sum()).astype(np.int32)}
+    idf = rng.random(2 * terms) + 0.1
+    chosen = [np.sort(rng.choice(2 * terms, k, replace=False)) for k in (1, 5, 100, 300, 2, 600, 1)]  # odd ones are unknown
+    queries = search.Queries(np.arange(7), np.r_[0, np.cumsum([len(x) for x in chosen])], np.concatenate(chosen).astype(np.uint64), idf[np.concatenate(chosen)])
+    shard, own = search.Shard(row, 150.0), per_document(df)
+    wanted = []
+    for x in chosen:
+        weight = np.zeros(2 * terms)
+        weight[x] = idf[x]
+        score = np.bincount(row["docs"], shard.part * weight[2 * own], minlength=n)
+        order = np.lexsort((row["keys"], -score))[:top]
+        wanted.append((score[order][score[order] > 0], row["keys"][order][score[order] > 0]))
+    floor = np.array([x[0][4] if len(x[0]) > 4 else 0.0 for x in wanted])
+    for least in (None, floor):
+        tops = [(np.zeros(0), np.zeros(0, np.int64)) for _ in chosen]
+        shard.score(queries, tops, top, *([] if least is None else [least]))
+        for (score, keys), (best, own_keys), low in zip(tops, wanted, np.zeros(7) if least is None else least, strict=True):
+            assert list(keys) == list(own_keys[best >= low]) and list(score) == list(best[best >= low])
+
+
 def test_search_of_odd_rows(odd, empty):
     queries = odd.filter("doc_id IN (1, 4, 5, 7, 12)")
     rows = search.search(odd, queries).collect()
