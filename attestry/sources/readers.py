@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from attestry import schemas
 from attestry.functions.yamljson import spread, yaml_to_json
 from attestry.session import folder_names
+from attestry.sources import folders
 
 CORRUPT = "_corrupt_record"
 LOG_LINES = T.StructType(schemas.RESPONSE_LOG.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -29,6 +30,15 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_responses_by_repo(spark: SparkSession, path: str, response: T.DataType) -> DataFrame:
+    """(response, owner, repo) of all folders that `write_responses_by_repo` has made."""
+    if folders.local_path(spark, path) is None:
+        return spark.read.schema(f"response {response.simpleString()}, owner string, repo string").json(path)
+    schema = T.StructType([T.StructField("response", response)])
+    rows = folders.read_lines(spark, ["owner", "repo"], path)
+    return rows.select(F.from_json("line", schema).alias("row"), "owner", "repo").select("row.response", "owner", "repo")
+
+
 def split_responses(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good lines and bad lines (truncated text, or no query type)."""
     bad = F.col("metadata.queryType").isNull()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from attestry import schemas
 from attestry.functions import values as V
 from attestry.operators.joins import left_join_many
+from attestry.sources import folders
 
 # Options of writes with a file or folder for each of very many rows or keys: each task moves its own files into place when
 # it ends, instead of the driver all of them, one after another, when the job ends.
@@ -156,25 +157,28 @@ def write_responses_by_repo(latest: DataFrame, path: str) -> None:
 
     Making a folder takes longer than filling it, so repositories are dealt over all shuffle partitions by number, not by
     size; one with more than a partition's share of the rows is split over several. There are fewer of those than
-    partitions, whatever the log. Each task moves its own folders into place.
+    partitions, whatever the log. On a disk that the tasks see they make the folders themselves; in any other store it is
+    Spark's writer, whose tasks move their own folders into place.
     """
     parts = int(latest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = latest.select("metadata.owner", "metadata.repo", "response")
+    rows = rows.select(folders.key_value("owner").alias("owner"), folders.key_value("repo").alias("repo"), "response")
     share = max(1, rows.count() / parts)
     counts = rows.groupBy(F.col("owner").alias("_owner"), F.col("repo").alias("_repo")).agg(F.count("*").alias("_rows"))
     large = counts.filter(F.col("_rows") > share).withColumn("_pieces", F.ceil(F.col("_rows") / share))
     same = F.col("owner").eqNullSafe(F.col("_owner")) & F.col("repo").eqNullSafe(F.col("_repo"))
     piece = F.pmod(F.monotonically_increasing_id(), F.coalesce("_pieces", F.lit(1)))
-    (
+    dealt = (
         rows.join(F.broadcast(large), same, "left")
         .select("owner", "repo", "response", piece.alias("_piece"))
         .repartition(parts, "owner", "repo", "_piece")
         .drop("_piece")
-        .write.mode("overwrite")
-        .options(**MANY_FILES)
-        .partitionBy("owner", "repo")
-        .json(path)
     )
+    if folders.local_path(latest.sparkSession, path) is not None:
+        lines = dealt.select("owner", "repo", F.to_json(F.struct("response")).alias("line"))
+        folders.write_lines(lines, ["owner", "repo"], "line", path)
+    else:
+        dealt.write.mode("overwrite").options(**MANY_FILES).partitionBy("owner", "repo").json(path)
 
 
 def responses_to_table(log: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from test_io import plan_of, response
 from attestry.operators import latest, search
 from attestry.operators import normalise as N
 from attestry.plans import models, summaries
-from attestry.sources import readers, writers
+from attestry.sources import folders, readers, writers
 
 
 @pytest.fixture
@@ -202,3 +202,34 @@ def test_small_folders_are_written_by_all_tasks(spark, tmp_path, rows):
     assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) > 1  # numbers of the tasks
     back = spark.read.schema("response struct<n: long>, owner string, repo string").json(str(tmp_path / "by"))
     assert rows(back.select("repo", "response.n")) == rows(log.select("metadata.repo", "response.n"))
+
+
+def test_repository_folders_are_made_without_hadoops_disk(spark, tmp_path, rows, monkeypatch):
+    """Hadoop's local file system starts processes for each folder and file, and leaves a checksum beside each."""
+    names = ["a", "b/c", "x=y z", "\u00fc%41", "#1 '\"*:?\\\\{}[]^", "t\ta\u007fb", "..", "", None, "__HIVE_DEFAULT_PARTITION__", "A"]
+    data = [(o, r, n if n % 5 else None) for n, (o, r) in enumerate((o, r) for o in names for r in names + names[:2])]
+    schema = "metadata struct<owner: string, repo: string>, response struct<n: long, t: string, u: string>"
+    log = spark.createDataFrame([((o, r), None if n is None else (n, "l\n\u2028\"", None)) for o, r, n in data], schema)
+    folders_in = lambda at: {str(x.parent.relative_to(at)) for x in at.glob("*/*/part-*")}
+    monkeypatch.setattr(folders, "READ_BYTES", 30)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        (tmp_path / "by").mkdir()
+        (tmp_path / "by/old").write_text("replaced")
+        writers.write_responses_by_repo(log.repartition(3), str(tmp_path / "by"))
+        back = readers.read_responses_by_repo(spark, str(tmp_path / "by"), log.schema["response"].dataType)
+        got = rows(back.select("owner", "repo", "response"))
+        with monkeypatch.context() as other:
+            other.setattr(folders, "local_path", lambda *_: None)
+            writers.write_responses_by_repo(log, str(tmp_path / "spark"))
+            want = rows(readers.read_responses_by_repo(spark, str(tmp_path / "spark"), log.schema["response"].dataType).select("owner", "repo", "response"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(data) and got == want
+    assert folders_in(tmp_path / "by") == folders_in(tmp_path / "spark")
+    assert not [x.name for x in (tmp_path / "by").glob("*/*/*") if not x.name.startswith("part-")]
+    assert {x.name for x in tmp_path.iterdir()} == {"by", "spark"} and not (tmp_path / "by/old").exists()
+    by_spark = spark.read.schema("response struct<n: long, t: string, u: string>, owner string, repo string").json(str(tmp_path / "by"))
+    assert rows(by_spark.select("owner", "repo", "response")) == want
+    writers.write_responses_by_repo(log.limit(0), str(tmp_path / "by"))
+    assert readers.read_responses_by_repo(spark, str(tmp_path / "by"), log.schema["response"].dataType).count() == 0

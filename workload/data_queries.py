@@ -982,8 +982,7 @@ def responses_by_repo(g):
     """One folder per repository, read back with the folder names."""
     path = work_dir(g.spark, "by-repo")
     writers.write_responses_by_repo(g.event_log, path)
-    response = schemas.RESPONSE_LOG["response"].dataType.simpleString()
-    back = g.spark.read.schema(f"response {response}, owner string, repo string").json(path)
+    back = readers.read_responses_by_repo(g.spark, path, schemas.RESPONSE_LOG["response"].dataType)
     return back.groupBy("repo").agg(
         F.count("*").alias("responses"),
         F.max(F.col("response.repository.id").cast("bigint")).alias("last_id"),
